@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
+from marea.operators.prepare import (as_category, coerce_numeric, impute_mean, standard_scale,
+                                     target_encode)
+from marea.session import checkpointed
 from marea.sources.readers import read_table
 
 PARAGRAPH_BREAK = "\n"    # the given documents separate paragraphs by single line breaks
@@ -12,3 +17,85 @@ SCORE_DIGITS = 5
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
+
+
+def churn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer with orders, shaped like a raw churn delivery: numbers as
+    text with blanks, categories with spaces and digits, a Yes/No label.
+
+    Orders collapse per customer and priority before their shuffle, so a customer
+    with a third of all orders costs a handful of rows.
+    """
+    orders = table(spark, sf_dir, "orders")
+    per_priority = orders.groupBy("o_custkey", "o_orderpriority").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spent"), F.count("*").alias("n"),
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    per_customer = per_priority.groupBy("o_custkey").agg(
+        F.sum("spent").cast("decimal(28,2)").alias("spent"), F.sum("n").alias("n"),
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.min(F.struct(-F.col("n"), "o_orderpriority"))["o_orderpriority"].alias("top_priority"))
+    year_ago = orders.agg(F.max("o_orderdate") - F.expr("interval 365 days")).scalar()
+    return (table(spark, sf_dir, "customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
+            .select(F.col("c_custkey").alias("customer_id"),
+                    (F.col("c_custkey") % 2).cast("int").alias("senior"),
+                    F.datediff("last", "first").cast("long").alias("tenure"),
+                    (F.col("spent").cast("double") / F.col("n")).alias("monthly_charges"),
+                    F.when(F.col("c_custkey") % 50 == 0, " ")
+                    .otherwise(F.col("spent").cast("string")).alias("total_charges"),
+                    F.col("c_mktsegment").alias("segment"), "top_priority",
+                    F.when(F.col("last") < year_ago, "Yes").otherwise("No").alias("churn")))
+
+
+CATEGORICAL = ["segment", "top_priority", "senior"]
+NUMERIC = ["tenure", "monthly_charges", "total_charges"]
+
+# A fixed linear score over two scaled features stands in for a fitted model where a
+# report has to be the same on every engine.
+SCORE_BIAS, SCORE_TENURE, SCORE_CHARGES = -0.7, -1.3, 0.5
+
+
+def churn_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers as numbers, gaps filled, label 0/1; written once to the shared folder,
+    since several fits read it and each would aggregate the orders anew."""
+    numbers = checkpointed(coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]))
+    return target_encode(impute_mean(as_category(numbers, ["senior"]), ["total_charges"]), "churn")
+
+
+def churn_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_id, churn, probability, prediction`` by the fixed score, beside the
+    business columns."""
+    clean = churn_clean(spark, sf_dir)
+    scaled = standard_scale(clean.withColumns({"_t": F.col("tenure"), "_m": F.col("monthly_charges")}),
+                            ["_t", "_m"])
+    z = SCORE_BIAS + SCORE_TENURE * F.col("_t") + SCORE_CHARGES * F.col("_m")
+    return (scaled.withColumn("probability", F.round(1 / (1 + F.exp(-z)), 4))
+            .withColumn("prediction", (F.col("probability") > 0.5).cast("int")).drop("_t", "_m"))
+
+
+def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as runs of experiments."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("experiment"), F.col("event_id").alias("run_id"),
+        F.col("value").alias("auc"), F.col("ts").alias("start_time"))
+
+
+def part_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands read as models, sizes as their versions (numbers kept as text)."""
+    tags = F.create_map(F.lit("env"), F.lit("dev"), F.lit("project_id"), F.lit("000000"))
+    return (table(spark, sf_dir, "part")
+            .select(F.col("p_brand").alias("name"), F.col("p_size").cast("string").alias("version"))
+            .distinct().withColumn("tags", tags))
+
+
+DRIFT_EXPECTED = StructType([
+    StructField("customer_id", LongType()), StructField("c_acctbal", DoubleType()),
+    StructField("c_mktsegment", StringType()), StructField("c_nationkey", IntegerType())])
+
+
+def drifted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a changed delivery: id renamed, balance as text with gaps, segment
+    missing, one column more."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("cust_id"),
+        F.when(F.col("c_custkey") % 20 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+        .alias("c_acctbal"), "c_nationkey", F.lit("2024-01").alias("delivery"))

@@ -42,9 +42,10 @@ def create_namespaces(spark: SparkSession, names: tuple[str, ...] = LAYERS) -> N
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; cells with line breaks or quotes are quoted."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"')
-       .option("escape", '"').csv(path))
+    """CSV with a header; cells with line breaks or quotes are quoted, and blanks at
+    the ends of a cell stay."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_json(df: DataFrame, path: str) -> None:
