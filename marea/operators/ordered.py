@@ -15,20 +15,26 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marea.functions.bounded import broadcast_if_small
 
-BINS = 4096
+ROWS_PER_BIN = 1_000_000
+MIN_BINS, MAX_BINS = 64, 16_384
+
+
+def _bins_for(df: DataFrame) -> int:
+    """Enough bins that each can be ordered by one task."""
+    return min(MAX_BINS, max(MIN_BINS, df.count() // ROWS_PER_BIN))
 
 
 def _splits(df: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
     """Increasing cut points per column, at about equal depth; one job for all."""
-    marks = df.approxQuantile(columns, [i / bins for i in range(1, bins)], 1 / (4 * bins))
+    marks = df.approxQuantile(columns, [i / bins for i in range(1, bins)], 1 / (2 * bins))
     return [[float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")] for cuts in marks]
 
 
-def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int = BINS) -> DataFrame:
+def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int | None = None) -> DataFrame:
     """Long form ``column, group, bin, value``; missing values and groups drop out."""
     numbers = (df.where(F.col(group_col).isNotNull())
                .select(group_col, *[F.col(c).cast("double").alias(c) for c in columns]))
-    bucketizer = Bucketizer(splitsArray=_splits(numbers, columns, bins), inputCols=columns,
+    bucketizer = Bucketizer(splitsArray=_splits(numbers, columns, bins or _bins_for(numbers)), inputCols=columns,
                             outputCols=[f"_bin_{c}" for c in columns], handleInvalid="keep")
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_bin_{c}").cast("int").alias("bin"),
                                F.col(c).alias("value")) for c in columns])
@@ -75,13 +81,13 @@ def exact_quantiles(binned: DataFrame, group_col: str, probs: dict[str, float])
         *[F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(name) for name in probs])
 
 
-def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int = BINS) -> DataFrame:
+def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int | None = None) -> DataFrame:
     """One row ``n_pos, n_neg, auc``: the chance that a positive outranks a negative,
     ties counting half. Null when a class is missing."""
     known = (df.select(F.col(label_col).cast("long").alias("label"),
                        F.col(score_col).cast("double").alias("score"))
              .where("label is not null and score is not null and not isnan(score)"))
-    bucketizer = Bucketizer(splits=_splits(known, ["score"], bins)[0], inputCol="score", outputCol="bin")
+    bucketizer = Bucketizer(splits=_splits(known, ["score"], bins or _bins_for(known))[0], inputCol="score", outputCol="bin")
     counts = (bucketizer.transform(known).groupBy("bin", "score")
               .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")))
     # At most bins + 1 rows: the negatives below each bin.

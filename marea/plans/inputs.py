@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
+from marea.functions.partitions import spread
 from marea.operators.prepare import (as_category, coerce_numeric, impute_mean, standard_scale,
                                      target_encode)
 from marea.session import checkpointed
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, on all cores even where it is one small file."""
+    return spread(table(spark, sf_dir, name))
+
+
 def churn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with orders, shaped like a raw churn delivery: numbers as
     text with blanks, categories with spaces and digits, a Yes/No label.

@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marea.functions.numeric import tidy
 from marea.operators import chunking, embedding, html, prompts, retrieval
-from marea.plans.inputs import PARAGRAPH_BREAK, SCORE_DIGITS, table
+from marea.plans.inputs import PARAGRAPH_BREAK, SCORE_DIGITS, table, texts
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.chunk_documents(table(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
+    return chunking.chunk_documents(texts(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
 
 
 def split_paragraphs(spark, sf_dir):
-    return chunking.split_paragraphs(table(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
+    return chunking.split_paragraphs(texts(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
 
 
 def filter_paragraphs(spark, sf_dir):
-    return chunking.filter_paragraphs(table(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
+    return chunking.filter_paragraphs(texts(spark, sf_dir, "documents"), sep=PARAGRAPH_BREAK)
 
 
 def chunk_documents(spark, sf_dir):
@@ -38,19 +37,21 @@ def chunk_preview(spark, sf_dir):
 
 
 def html_to_text(spark, sf_dir):
-    return html.html_to_text(table(spark, sf_dir, "pages"))
+    return html.html_to_text(texts(spark, sf_dir, "pages"))
 
 
 def html_chunks(spark, sf_dir):
     """Pages to text to chunks; page paragraphs are separated by blank lines."""
-    pages = html.html_to_text(table(spark, sf_dir, "pages"))
+    pages = html.html_to_text(texts(spark, sf_dir, "pages"))
     return chunking.chunk_documents(pages, id_col="page_id")
 
 
 def embed_hash(spark, sf_dir):
     """Non-zero weights of every document's vector, one row each."""
-    vectors = embedding.embed_hash(table(spark, sf_dir, "documents"), "text")
-    return (vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))
+    vectors = embedding.embed_hash(texts(spark, sf_dir, "documents"), "text")
+    # The outer form keeps the optimizer from inferring a filter on the vector, which
+    # would compute every vector twice.
+    return (vectors.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "weight"))
             .where("weight <> 0")
             .select("doc_id", "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight")))
 
@@ -80,7 +81,7 @@ def vector_topk_scored(spark, sf_dir):
 def chunk_topk(spark, sf_dir):
     """The three best chunks, with text, for every benchmark item as a question."""
     return prompts.retrieve_chunks(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+        texts(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
         question_id="item_id", question_text="text", sep=PARAGRAPH_BREAK, digits=SCORE_DIGITS)
 
 
@@ -111,7 +112,7 @@ def rag_batch(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").where("role = 'user'")
     questions = turns.select(F.concat_ws("-", "conv_id", "turn").alias("question"), "text")
     return prompts.ground_questions(
-        table(spark, sf_dir, "documents"), questions, question_id="question",
+        texts(spark, sf_dir, "documents"), questions, question_id="question",
         question_text="text", sep=PARAGRAPH_BREAK, digits=SCORE_DIGITS)
 
 
