@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from marea.session import checkpointed
 
 MAX_ROWS = 100_000
 
 
+def local_frame(spark: SparkSession, rows: list[dict], schema: StructType | str) -> DataFrame:
+    """A few driver-side rows as a local relation, whose size the optimizer knows."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(pa.Table.from_pylist(rows), schema)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, keep: bool = False) -> DataFrame:
     """Evaluate a statistics frame once and mark it for broadcast if it fits.
 
@@ -16,7 +25,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, keep: bool = Fal
     without a hint, so that the join shuffles both sides instead; ``keep`` then
     writes it to the shared folder rather than computing it anew per use.
     """
-    head = df.limit(max_rows + 1).collect()
-    if len(head) > max_rows:
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
         return checkpointed(df) if keep else df
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+    spark = df.sparkSession
+    return F.broadcast(spark.createDataFrame(head, df.schema) if head.num_rows
+                       else spark.createDataFrame([], df.schema))

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from marea.functions.partitions import spread
 from marea.operators.metrics import classification_metrics, with_class_weights
 from marea.operators.ordered import auc_roc
 from marea.operators.registry import run_row
@@ -63,13 +64,13 @@ def forest(name: str = "Random_Forest_Balanced", trees: int = 100, depth: int =
 
 
 def fit(classifier: Classifier, train: DataFrame, features: list[str], label_col: str) -> PipelineModel:
-    """Fit on balanced class weights. The training frame is read many times, so it
-    stays on the executors (memory, then disk) meanwhile."""
+    """Fit on balanced class weights. The weighted rows stay on the executors (memory,
+    then disk) while the fit reads them, spread over all cores."""
     weighted = with_class_weights(train.select(*features, label_col), label_col, WEIGHT).persist()
     try:
         stages = [VectorAssembler(inputCols=features, outputCol="features"),
                   classifier.build(weighted.count(), label_col)]
-        return Pipeline(stages=stages).fit(weighted)
+        return Pipeline(stages=stages).fit(spread(weighted))
     finally:
         weighted.unpersist()
 
@@ -86,8 +87,13 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, label_col: str) -> dict[str, float]:
-    rates = classification_metrics(scored, label_col, "prediction").first()
-    auc = auc_roc(scored, label_col, "probability").first()["auc"]
+    """Accuracy, F1 of class 1 and AUC; the scores are computed once for all three."""
+    kept = scored.select(label_col, "probability", "prediction").persist()
+    try:
+        rates = classification_metrics(kept, label_col, "prediction").first()
+        auc = auc_roc(kept, label_col, "probability").first()["auc"]
+    finally:
+        kept.unpersist()
     return {"accuracy": rates["accuracy"], "f1_score": rates["f1_score"], "auc": auc}
 
 

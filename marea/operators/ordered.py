@@ -13,7 +13,7 @@ from itertools import accumulate
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marea.functions.bounded import broadcast_if_small
+from marea.functions.bounded import broadcast_if_small, local_frame
 
 ROWS_PER_BIN = 1_000_000
 MIN_BINS, MAX_BINS = 64, 16_384
@@ -83,23 +83,33 @@ def exact_quantiles(binned: DataFrame, group_col: str, probs: dict[str, float])
 
 def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int | None = None) -> DataFrame:
     """One row ``n_pos, n_neg, auc``: the chance that a positive outranks a negative,
-    ties counting half. Null when a class is missing."""
-    known = (df.select(F.col(label_col).cast("long").alias("label"),
-                       F.col(score_col).cast("double").alias("score"))
-             .where("label is not null and score is not null and not isnan(score)"))
-    bucketizer = Bucketizer(splits=_splits(known, ["score"], bins or _bins_for(known))[0], inputCol="score", outputCol="bin")
-    counts = (bucketizer.transform(known).groupBy("bin", "score")
-              .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")))
-    # At most bins + 1 rows: the negatives below each bin.
-    edges = counts.groupBy("bin").agg(F.sum("neg").alias("neg")).orderBy("bin").collect()
-    below = accumulate((row["neg"] for row in edges[:-1]), initial=0)
-    before = df.sparkSession.createDataFrame(
-        [(row["bin"], n) for row, n in zip(edges, below)], "bin double, before long")
-    lower = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
-              .join(F.broadcast(before), "bin"))
-    wins = F.col("pos") * (F.col("before") + F.col("lower") + F.col("neg") / 2)
-    return (ranked.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"),
-                       F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"), F.sum(wins).alias("wins"))
-            .select("n_pos", "n_neg", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-                    F.col("wins") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc")))
+    ties counting half. Null when a class is missing.
+
+    One pass over ``df`` counts labels per distinct score; the rest works on these
+    counts, kept on the executors meanwhile: negatives below each bin from the bin
+    totals, negatives below each score from a window inside its bin.
+    """
+    counts = (df.select(F.col(label_col).cast("long").alias("label"),
+                        F.col(score_col).cast("double").alias("score"))
+              .where("label is not null and score is not null and not isnan(score)")
+              .groupBy("score")
+              .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))).persist()
+    try:
+        splits = _splits(counts, ["score"], bins or _bins_for(counts))[0]
+        binned = Bucketizer(splits=splits, inputCol="score", outputCol="bin").transform(counts)
+        # At most MAX_BINS + 1 rows.
+        edges = binned.groupBy("bin").agg(F.sum("neg").alias("neg")).orderBy("bin").collect()
+        below = accumulate((row["neg"] for row in edges[:-1]), initial=0)
+        before = local_frame(df.sparkSession, [
+            {"bin": row["bin"], "before": n} for row, n in zip(edges, below)], "bin double, before long")
+        lower = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = (binned.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
+                  .join(F.broadcast(before), "bin"))
+        wins = F.col("pos") * (F.col("before") + F.col("lower") + F.col("neg") / 2)
+        n_pos, n_neg, won = ranked.agg(F.coalesce(F.sum("pos"), F.lit(0)),
+                                       F.coalesce(F.sum("neg"), F.lit(0)), F.sum(wins)).first()
+    finally:
+        counts.unpersist()
+    auc = won / (float(n_pos) * n_neg) if n_pos and n_neg else None
+    return local_frame(df.sparkSession, [{"n_pos": n_pos, "n_neg": n_neg, "auc": auc}],
+                       "n_pos long, n_neg long, auc double")

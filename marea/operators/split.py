@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marea.functions.bounded import MAX_ROWS, broadcast_if_small
+from marea.functions.bounded import MAX_ROWS, broadcast_if_small, local_frame
 from marea.functions.hashing import HASH_SPACE, seeded, seeded_number
 
 
@@ -49,8 +49,8 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, fraction: float
         raise ValueError(f"{label_col} has more than {MAX_ROWS} values: not a class label")
     quotas = class_quotas({row["label"]: row["n"] for row in classes}, fraction) if classes else {}
     label_type = df.schema[label_col].dataType.simpleString()
-    quota_rows = df.sparkSession.createDataFrame(
-        [(c, q) for c, q in quotas.items() if q > 0], f"label {label_type}, quota long")
+    quota_rows = local_frame(df.sparkSession, [
+        {"label": c, "quota": q} for c, q in quotas.items() if q > 0], f"label {label_type}, quota long")
 
     by_bin = Window.partitionBy("label").orderBy("bin")
     edge = (bins.withColumn("end", F.sum("n").over(by_bin)).join(F.broadcast(quota_rows), "label")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marea.functions.numeric import tidy
+from marea.functions.partitions import spread
 from marea.functions.text import clean_label
 from marea.operators import drift, metrics, models, prepare, profile, registry, reports, split
 from marea.operators.ordered import auc_roc as auc_of
@@ -143,7 +144,8 @@ def _training(spark, sf_dir):
     """(train, test, feature names); means and encoding are learnt from the training
     rows alone."""
     raw = prepare.coerce_numeric(prepare.as_category(churn_raw(spark, sf_dir), ["senior"]), ["total_charges"])
-    parts = checkpointed(split.stratified_split(prepare.target_encode(raw, LABEL), ID, LABEL))
+    rows = spread(checkpointed(prepare.target_encode(raw, LABEL)))
+    parts = split.stratified_split(rows, ID, LABEL)
     train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
     means = prepare.column_means(train, ["total_charges"])
     train, test = (prepare.impute_mean(df, ["total_charges"], means) for df in (train, test))

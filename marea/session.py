@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_dirs: dict[str, str] = {}    # application -> its folder, in local mode only
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g",
                   app: str = "marea") -> SparkSession:
     """Session for tests and the bench; on a cluster spark-submit supplies it."""
@@ -35,11 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    fallback = tempfile.mkdtemp(prefix="marea-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="marea-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,196 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from marea.operators import drift, models, registry, reports
+from marea.session import scratch_path, shared_dir
+from marea.sources import readers, writers
+
+
+# --- drift ---
+
+def aligned(df, schema, synonyms=None):
+    expected = StructType.fromDDL(schema)
+    result = drift.align_schema(df, expected, synonyms)
+    assert [(f.name, f.dataType) for f in result.schema] == [(f.name, f.dataType) for f in expected]
+    return [tuple(r) for r in result.collect()]
+
+
+def test_rename_missing_extra_cast(spark):
+    df = spark.createDataFrame([("1", "12.5", "x"), ("2", "n/a", "y")], "cust_id string, monthlycharge string, other string")
+    schema = "monthly_charges double, customer_id bigint, gender string"
+    assert aligned(df, schema) == [(12.5, 1, None), (None, 2, None)]
+    report = drift.drift_report(df, StructType.fromDDL(schema)).first()
+    assert report["missing_columns"] == ["gender"] and report["extra_columns"] == ["other"]
+    assert report["renames_applied"] == {"cust_id": "customer_id", "monthlycharge": "monthly_charges"}
+    assert report["failed_casts"] == {"customer_id": 0, "monthly_charges": 1}
+    assert report["name_mapping_used"] == drift.SYNONYMS
+
+
+def test_own_name_wins_over_variant(spark):
+    df = spark.createDataFrame([(1, 2)], "cust_id int, customer_id int")
+    assert aligned(df, "customer_id int") == [(2,)]
+
+
+def test_first_variant_wins(spark):
+    df = spark.createDataFrame([(1, 2)], "client_id int, cust_id int")
+    assert aligned(df, "customer_id int") == [(2,)]
+
+
+def test_expected_variant_is_not_renamed(spark):
+    df = spark.createDataFrame([(5,)], "tenure int")
+    assert aligned(df, "tenure int, tenure_months int") == [(5, None)]
+    assert aligned(df, "tenure_months int") == [(5,)]
+
+
+def test_names_differing_in_case(spark):
+    df = spark.createDataFrame([("7.5",)], "totalcharges string")
+    assert aligned(df, "TotalCharges double") == [(7.5,)]
+    assert drift.resolve(["ab", "AB"], StructType.fromDDL("AB int"), {}).source == {"AB": "AB"}
+    with pytest.raises(ValueError, match="several"):
+        drift.resolve(["ab", "AB"], StructType.fromDDL("Ab int"), {})
+
+
+def test_drift_rows_and_json(spark, tmp_path):
+    df = spark.createDataFrame([("x",)], "cust_id string")
+    report = drift.drift_report(df, StructType.fromDDL("customer_id int, gender string"))
+    rows = {tuple(r) for r in drift.drift_rows(report).collect()}
+    assert {("missing", "gender", None), ("renamed", "cust_id", "customer_id"), ("failed casts", "customer_id", "1")} <= rows
+    writers.write_json(report, str(tmp_path / "report"))
+    text = spark.read.text(str(tmp_path / "report")).first()[0]
+    assert json.loads(text)["missing_columns"] == ["gender"]
+
+
+# --- registry ---
+
+def test_latest_version_is_numeric(spark):
+    versions = spark.createDataFrame([("m", "2", "p2", {}), ("m", "10", "p10", {"a": "old"}), ("n", "1", "p", None)],
+                                     registry.VERSION_SCHEMA)
+    assert {(r["name"], r["version"], r["model_uri"]) for r in registry.latest_version(versions).collect()} == {
+        ("m", "10", "models:/m/10"), ("n", "1", "models:/n/1")}
+    assert registry.find_latest(versions, "m")["artifact_uri"] == "p10"
+    with pytest.raises(LookupError):
+        registry.find_latest(versions, "none")
+    tagged = registry.tag_version(versions, registry.latest_version(versions), {"a": "new", "b": "1"})
+    found = {(r["name"], r["version"]): r["tags"] for r in tagged.collect()}
+    assert found == {("m", "2"): {}, ("m", "10"): {"a": "new", "b": "1"}, ("n", "1"): {"a": "new", "b": "1"}}
+    assert registry.register_version(versions, "m", "p11").first()["version"] == "11"
+    assert registry.register_version(versions, "new", "p").first()["version"] == "1"
+
+
+def test_champion(spark):
+    runs = None
+    for run_id, auc in (("r1", 0.8), ("r2", float("nan")), ("r3", 0.9), ("r0", 0.9), ("r4", None)):
+        row = registry.run_row(spark, "e", run_id, "Random_Forest", {}, {"auc": auc}, {}, "FINISHED")
+        runs = row if runs is None else runs.unionByName(row)
+    best = registry.find_champion(runs, "e")
+    assert (best["run_id"], best["metric"], best["model_uri"]) == ("r0", 0.9, "runs:/r0/model")
+    with pytest.raises(LookupError):
+        registry.find_champion(runs, "unknown")
+    assert registry.latest_runs(runs).count() == 2
+    assert runs.select(registry.run_algorithm(F.col("run_name"))).first()[0] == "Random"
+
+
+# --- models and reports ---
+
+@pytest.fixture(scope="module")
+def customers(spark):
+    return spark.range(400).select(
+        F.col("id"), (F.col("id") % 7 - 3).cast("double").alias("a"), (F.col("id") % 11 - 5).cast("double").alias("b"),
+        ((F.col("id") % 7 - 3) * 2 + (F.col("id") % 11 - 5) * 0.5 > 2.5).cast("int").alias("y"))
+
+
+def test_train_save_load_score(spark, customers, tmp_path):
+    train, test = customers.where("id % 5 <> 0"), customers.where("id % 5 = 0")
+    model, run = models.train_and_log(models.logistic(), train, test, ["a", "b"], "y", "demo", str(tmp_path / "models"))
+    row = run.first()
+    assert row["status"] == "FINISHED" and row["tags"]["algorithm"] == "Logistic" and row["metrics"]["auc"] > 0.95
+    loaded, signature = models.load_model(row["artifact_uri"])
+    assert signature.names == ["a", "b"]
+    first, second = (sorted(map(tuple, models.score(m, test).collect())) for m in (model, loaded))
+    assert first == second
+    report = reports.score_report(models.score(loaded, test), "id", "y")
+    assert report.count() == test.count() and set(report.columns) == {"id", "probability", "prediction", "alert", "y"}
+    strict = reports.score_report(models.score(loaded, test), "id", "y", threshold=1.0)
+    assert {r["alert"] for r in strict.collect()} == {reports.ALERT_LOW}
+    assert reports.class_report(models.score(loaded, test), "id", "y").columns == ["id", "prediction", "y"]
+
+
+def test_forest(spark, customers):
+    _, run = models.train_and_log(models.forest(trees=10, depth=4), customers, customers, ["a", "b"], "y", "demo")
+    assert run.first()["metrics"]["auc"] > 0.9
+
+
+def test_failed_run_is_logged(spark, customers):
+    model, run = models.train_and_log(models.logistic(), customers, customers, ["a", "none"], "y", "demo")
+    row = run.first()
+    assert model is None and row["status"] == "FAILED" and "none" in row["tags"]["error"]
+
+
+def test_balanced_penalty_matches_direct_optimum(spark, customers):
+    """The fitted weights minimise 0.5 |w|^2 + C * weighted log loss."""
+    import numpy as np
+    model = models.fit(models.logistic(c=0.5), customers, ["a", "b"], "y").stages[-1]
+    pdf = customers.toPandas()
+    x, y = pdf[["a", "b"]].to_numpy(), pdf["y"].to_numpy()
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    w, b = model.coefficients.toArray(), model.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    gradient = w + 0.5 * ((weight * (p - y))[:, None] * x).sum(axis=0)
+    assert np.abs(gradient).max() < 0.05
+
+
+def test_gold_report_keeps_every_row(spark):
+    report = spark.createDataFrame([(1, 0.9, 1, "x", 1), (2, 0.1, 0, "y", 0)],
+                                   "id long, probability double, prediction int, alert string, churn int")
+    business = spark.createDataFrame([(1, "A", 0)], "id long, segment string, churn int")
+    gold = reports.gold_report(report, business, "id", "churn", ["segment"]).orderBy("id").collect()
+    assert [tuple(r) for r in gold] == [(1, "A", 1, 1, 0.9, "x"), (2, None, 0, 0, 0.1, "y")]
+
+
+# --- sources and sinks ---
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    rows = [(1, 'uno\n\ndos "tres", cuatro'), (2, "  blanks "), (3, None)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    writers.write_csv(df, str(tmp_path / "csv"))
+    back = readers.read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert sorted(map(tuple, back.collect())) == rows
+    assert readers.read_csv(spark, str(tmp_path / "csv")).dtypes == [("id", "string"), ("text", "string")]
+
+
+def test_whole_text_is_one_row(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("uno\n\ndos\n", encoding="utf8")
+    assert [r[0] for r in readers.read_whole_text(spark, str(tmp_path)).collect()] == ["uno\n\ndos\n"]
+
+
+def test_layers(spark, tmp_path):
+    root = str(tmp_path)
+    path = writers.write_layer(spark.range(3), root, "silver", "t")
+    assert readers.read_table(spark, path).count() == 3
+    writers.write_layer(spark.range(3).select(F.col("id").cast("string").alias("other")), root, "silver", "t")
+    assert readers.read_table(spark, path).columns == ["other"]
+    writers.replace_layer(readers.read_table(spark, path).withColumn("n", F.lit(1)), root, "silver", "t")
+    assert readers.read_table(spark, path).columns == ["other", "n"]
+    writers.write_layer(readers.read_table(spark, path).limit(1), root, "silver", "t", mode="append")
+    assert readers.read_table(spark, path).count() == 4
+    with pytest.raises(ValueError):
+        writers.write_layer(spark.range(1), root, "copper", "t")
+
+
+def test_namespaces_and_tables(spark):
+    writers.create_namespaces(spark, ("silver",))
+    writers.save_table(spark.range(4), "silver.numbers")
+    writers.save_table(spark.range(4).toDF("n"), "silver.numbers")
+    assert readers.read_table(spark, "silver.numbers").columns == ["n"]
+
+
+def test_local_rows(spark):
+    assert readers.local_rows(spark, [(1, "a")], "i int, t string").count() == 1
+
+
+def test_shared_dir_follows_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")

@@ -1,0 +1,32 @@
+"""Every registered query at the smallest scale, against its check SQL."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.compare import compare, duck
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_DIR)
+
+
+def test_every_check_has_a_query():
+    assert set(CHECKS) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_query_matches_sql(spark, con, name):
+    assert compare(spark, con, SF_DIR, QUERIES[name], CHECKS[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
+def test_query_gives_rows(spark, name):
+    assert QUERIES[name](spark, SF_DIR).count() > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["conv_id", "turn", "role", "text"]
