@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from marea.functions.partitions import spread
 from marea.operators.metrics import classification_metrics, with_class_weights
 from marea.operators.ordered import auc_roc
-from marea.operators.registry import run_row
+from marea.operators.registry import find_champion, find_version, run_row
 from marea.sources.readers import read_whole_text
 
 WEIGHT = "class_weight"
@@ -108,7 +108,7 @@ def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, fea
     try:
         model = fit(classifier, train, features, label_col)
         metrics = evaluate(score(model, test), label_col)
-        uri = save_model(model, train.select(*features).schema, f"{model_root}/{run_id}") if model_root else None
+        uri = save_model(model, train.select(*features), f"{model_root}/{run_id}") if model_root else None
     except Exception as error:  # noqa: BLE001 - the failure is the record
         return None, run_row(spark, experiment, run_id, classifier.name, classifier.params, {},
                              {**labels, "error": str(error)[:500]}, "FAILED")
@@ -116,11 +116,13 @@ def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, fea
                           labels, "FINISHED", uri)
 
 
-def save_model(model: PipelineModel, signature: StructType, path: str) -> str:
-    """Save the model with the schema of its features; returns the path."""
+def save_model(model: PipelineModel, features: DataFrame, path: str) -> str:
+    """Save the model, the schema of its features and five of their rows as an
+    example; returns the path."""
     model.write().overwrite().save(f"{path}/model")
-    signature_row = SparkSession.active().createDataFrame([(signature.json(),)], "signature string")
-    signature_row.coalesce(1).write.mode("overwrite").text(f"{path}/signature")
+    signature = SparkSession.active().createDataFrame([(features.schema.json(),)], "signature string")
+    signature.coalesce(1).write.mode("overwrite").text(f"{path}/signature")
+    features.limit(5).write.mode("overwrite").json(f"{path}/input_example")
     return path
 
 
@@ -128,3 +130,13 @@ def load_model(path: str) -> tuple[PipelineModel, StructType]:
     """The model and the feature schema it expects."""
     text = read_whole_text(SparkSession.active(), f"{path}/signature").first()[0]
     return PipelineModel.load(f"{path}/model"), StructType.fromJson(json.loads(text))
+
+
+def load_champion(runs: DataFrame, experiment: str, metric: str = "auc") -> tuple[PipelineModel, StructType]:
+    """The model of an experiment's best run."""
+    return load_model(find_champion(runs, experiment, metric)["artifact_uri"])
+
+
+def load_version(versions: DataFrame, name: str, version: int | None = None) -> tuple[PipelineModel, StructType]:
+    """A registered model by version, or its newest one."""
+    return load_model(find_version(versions, name, version)["artifact_uri"])

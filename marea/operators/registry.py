@@ -56,11 +56,14 @@ def latest_version(versions: DataFrame) -> DataFrame:
             .withColumn("model_uri", F.format_string("models:/%s/%s", "name", "version")))
 
 
-def find_latest(versions: DataFrame, name: str):
-    """The newest version's row for one name, or a clear error when it has none."""
-    row = latest_version(versions.where(F.col("name") == name)).first()
+def find_version(versions: DataFrame, name: str, version: int | None = None):
+    """The row of one version, the newest by default, or a clear error."""
+    own = versions.where(F.col("name") == name)
+    if version is not None:
+        own = own.where(F.col("version").cast("long") == version)
+    row = latest_version(own).first()
     if row is None:
-        raise LookupError(f"no versions of model {name!r}")
+        raise LookupError(f"no version {version or ''} of model {name!r}")
     return row
 
 

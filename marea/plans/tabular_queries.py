@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from marea.functions.numeric import tidy
 from marea.functions.partitions import spread
@@ -187,11 +188,12 @@ def batch_score(spark, sf_dir):
     """A logistic model, saved and loaded again, over every customer."""
     train, test, features = _training(spark, sf_dir)
     path = models.save_model(models.fit(models.logistic(), train, features, LABEL),
-                             train.select(*features).schema, scratch_path(spark, "model"))
+                             train.select(*features), scratch_path(spark, "model"))
     model, signature = models.load_model(path)
     rows = train.unionByName(test)
-    ready = drift.align_schema(rows, signature) if rows.schema == signature else rows
-    return reports.score_report(models.score(model, ready), ID, LABEL)
+    # What the model expects, between the id and the label that travel along.
+    expected = StructType([rows.schema[ID], *signature, rows.schema[LABEL]])
+    return reports.score_report(models.score(model, drift.align_schema(rows, expected)), ID, LABEL)
 
 
 # --- registry ---

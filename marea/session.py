@@ -12,9 +12,9 @@ _local_dirs: dict[str, str] = {}    # application -> its folder, in local mode o
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g",
-                  app: str = "marea") -> SparkSession:
+                  app: str = "marea", conf: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the bench; on a cluster spark-submit supplies it."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,8 +23,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -7,10 +7,8 @@ from marea.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
     home = tempfile.mkdtemp(prefix="marea-tests-")
-    SparkSession.builder.config("spark.sql.warehouse.dir", f"{home}/warehouse").config(
-        "spark.checkpoint.dir", f"{home}/shared")
-    session = local_session(4, shuffle_partitions=4, memory="6g")
+    session = local_session(4, shuffle_partitions=4, memory="6g", conf={
+        "spark.sql.warehouse.dir": f"{home}/warehouse", "spark.checkpoint.dir": f"{home}/shared"})
     yield session
     session.stop()

@@ -70,9 +70,11 @@ def test_latest_version_is_numeric(spark):
                                      registry.VERSION_SCHEMA)
     assert {(r["name"], r["version"], r["model_uri"]) for r in registry.latest_version(versions).collect()} == {
         ("m", "10", "models:/m/10"), ("n", "1", "models:/n/1")}
-    assert registry.find_latest(versions, "m")["artifact_uri"] == "p10"
-    with pytest.raises(LookupError):
-        registry.find_latest(versions, "none")
+    assert registry.find_version(versions, "m")["artifact_uri"] == "p10"
+    assert registry.find_version(versions, "m", 2)["artifact_uri"] == "p2"
+    for name, version in (("none", None), ("m", 3)):
+        with pytest.raises(LookupError):
+            registry.find_version(versions, name, version)
     tagged = registry.tag_version(versions, registry.latest_version(versions), {"a": "new", "b": "1"})
     found = {(r["name"], r["version"]): r["tags"] for r in tagged.collect()}
     assert found == {("m", "2"): {}, ("m", "10"): {"a": "new", "b": "1"}, ("n", "1"): {"a": "new", "b": "1"}}
@@ -109,6 +111,10 @@ def test_train_save_load_score(spark, customers, tmp_path):
     assert row["status"] == "FINISHED" and row["tags"]["algorithm"] == "Logistic" and row["metrics"]["auc"] > 0.95
     loaded, signature = models.load_model(row["artifact_uri"])
     assert signature.names == ["a", "b"]
+    assert spark.read.json(f"{row['artifact_uri']}/input_example").count() == 5
+    versions = registry.register_version(spark.createDataFrame([], registry.VERSION_SCHEMA), "m", row["artifact_uri"])
+    for again, names in (models.load_champion(run, "demo"), models.load_version(versions, "m")):
+        assert names == signature and again.stages[-1].coefficients == loaded.stages[-1].coefficients
     first, second = (sorted(map(tuple, models.score(m, test).collect())) for m in (model, loaded))
     assert first == second
     report = reports.score_report(models.score(loaded, test), "id", "y")
@@ -185,6 +191,8 @@ def test_namespaces_and_tables(spark):
     writers.save_table(spark.range(4), "silver.numbers")
     writers.save_table(spark.range(4).toDF("n"), "silver.numbers")
     assert readers.read_table(spark, "silver.numbers").columns == ["n"]
+    writers.save_table(spark.range(4).toDF("n"), "silver.bucketed", bucket_by="n", buckets=2)
+    assert readers.read_table(spark, "silver.bucketed").count() == 4
 
 
 def test_local_rows(spark):
