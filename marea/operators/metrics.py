@@ -16,7 +16,7 @@ def class_weights(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label_col: str, out: str = "weight") -> DataFrame:
-    """Add the balanced weight of its class to every row."""
+    """Add the balanced weight of its class to every labelled row."""
     weights = broadcast_if_small(class_weights(df, label_col).select(label_col, F.col("weight").alias(out)))
     return df.join(weights, label_col)
 

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
-from marea.functions.numeric import to_number
+from marea.functions.numeric import no_nan, to_number
 from marea.functions.text import clean_name
 
 MAX_CATEGORIES = 2000   # columns an encoded table may gain
@@ -21,14 +21,14 @@ def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def column_means(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Means over the known values, all columns in one aggregate."""
-    return df.agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    """Means over the known values (neither null nor NaN), all columns in one aggregate."""
+    return df.agg(*[F.avg(no_nan(F.col(c))).alias(c) for c in columns]).first().asDict()
 
 
 def impute_mean(df: DataFrame, columns: list[str], means: dict[str, float] | None = None) -> DataFrame:
-    """Fill nulls with the column's mean, or with ``means`` taken from training data."""
+    """Fill gaps with the column's mean, or with ``means`` taken from training data."""
     means = column_means(df, columns) if means is None else means
-    return df.withColumns({c: F.coalesce(c, F.lit(means[c]).cast("double")) for c in columns})
+    return df.withColumns({c: F.coalesce(no_nan(F.col(c)), F.lit(means[c]).cast("double")) for c in columns})
 
 
 def target_encode(df: DataFrame, target: str, positive: str = "Yes") -> DataFrame:
@@ -54,8 +54,8 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 def numeric_stats(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per column, in one aggregate; a constant
     column gets deviation 1."""
-    row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns],
-                 *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
+    row = df.agg(*[F.avg(no_nan(F.col(c))).alias(f"m_{c}") for c in columns],
+                 *[F.stddev_pop(no_nan(F.col(c))).alias(f"s_{c}") for c in columns]).first()
     return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in columns}
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DecimalType, FractionalType, NumericType, StringType
 
 from marea.functions.bounded import broadcast_if_small
+from marea.functions.numeric import no_nan
 from marea.functions.text import compact_text
 from marea.operators.ordered import binned_values, exact_quantiles
 
@@ -16,8 +17,12 @@ def columns_of(df: DataFrame, *types: type) -> list[str]:
 
 
 def _as_text(df: DataFrame, name: str) -> Column:
-    col = F.col(name)
-    return compact_text(col) if isinstance(df.schema[name].dataType, StringType) else col.cast("string")
+    col, dtype = F.col(name), df.schema[name].dataType
+    if isinstance(dtype, StringType):
+        return compact_text(col)
+    # NaN is a missing value, and negative zero is zero.
+    return (no_nan(col) + F.lit(0.0) if isinstance(dtype, FractionalType) and not isinstance(dtype, DecimalType)
+            else col).cast("string")
 
 
 def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:

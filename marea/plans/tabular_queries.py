@@ -53,7 +53,7 @@ def category_by_target(spark, sf_dir):
 
 def numeric_by_target(spark, sf_dir):
     numbers = prepare.coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"])
-    return profile.numeric_by_target(checkpointed(numbers), LABEL, NUMERIC, digits=4)
+    return profile.numeric_by_target(checkpointed(numbers.select(LABEL, *NUMERIC)), LABEL, NUMERIC, digits=4)
 
 
 def boxplot_stats(spark, sf_dir):
@@ -68,8 +68,8 @@ def coerce_numeric(spark, sf_dir):
 
 
 def impute_mean(spark, sf_dir):
-    numbers = checkpointed(prepare.coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]))
-    return prepare.impute_mean(numbers, ["total_charges"]).select(
+    numbers = prepare.coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]).select(ID, "total_charges")
+    return prepare.impute_mean(checkpointed(numbers), ["total_charges"]).select(
         ID, F.round("total_charges", 4).alias("total_charges"))
 
 

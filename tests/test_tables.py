@@ -19,6 +19,15 @@ def test_profile(spark):
     assert tuple(profile.table_shape(df).first()) == (4, 3)
 
 
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (0.0,), (-0.0,)], "d double")
+    row = profile.profile_columns(df).first()
+    assert (row["null_count"], row["distinct_count"]) == (2, 2)
+    filled = prepare.impute_mean(df, ["d"]).collect()
+    assert filled[1]["d"] == filled[2]["d"] == pytest.approx(1 / 3)
+    assert prepare.numeric_stats(df, ["d"])["d"][0] == pytest.approx(1 / 3)
+
+
 def test_duplicates_treat_null_as_equal(spark):
     long = "x" * 500
     df = spark.createDataFrame([(1, long), (1, long), (None, None), (None, None), (None, None), (2, long + "y")],
