@@ -31,24 +31,25 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     Counts first collapse per (column, value) on the map side, and long texts count
     by digest. ``exact=False`` estimates the distinct values in one pass instead.
     """
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
-                 F.lit(f.dataType.simpleString()).alias("dtype"), _as_text(df, f.name).alias("value"))
-        for i, f in enumerate(df.schema)])
-    long = df.select(F.inline(cells))
-    head = ["position", "column", "dtype"]
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), _as_text(df, f.name).alias("value"))
+        for i, f in enumerate(df.schema)])))
     blank = F.coalesce((F.trim("value") == "").cast("int"), F.lit(0))
     if exact:
-        values = long.groupBy(*head, "value").agg(F.count("*").alias("n"))
-        stats = values.groupBy(*head).agg(
+        values = long.groupBy("position", "value").agg(F.count("*").alias("n"))
+        stats = values.groupBy("position").agg(
             F.sum("n").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
             F.sum(blank * F.col("n")).alias("blank_count"), F.count("value").alias("distinct_count"))
     else:
-        stats = long.groupBy(*head).agg(
+        stats = long.groupBy("position").agg(
             F.count("*").alias("n_rows"), (F.count("*") - F.count("value")).alias("null_count"),
             F.sum(blank).alias("blank_count"), F.approx_count_distinct("value").alias("distinct_count"))
-    return stats.withColumn("null_pct", F.round(100 * F.col("null_count") / F.col("n_rows"), 2))
+    label = lambda texts: F.get(F.array(*map(F.lit, texts)), F.col("position"))
+    return stats.select(
+        "position", label(df.columns).alias("column"),
+        label([f.dataType.simpleString() for f in df.schema]).alias("dtype"), "n_rows", "null_count",
+        F.round(100 * F.col("null_count") / F.col("n_rows"), 2).alias("null_pct"), "blank_count", "distinct_count")
 
 
 def table_shape(df: DataFrame) -> DataFrame:

@@ -147,6 +147,9 @@ select {question_id}, 1, 'user', text from {questions}"""
 
 
 _DOC_CHUNKS = chunk_sql("documents", "doc_id", PARAGRAPH_BREAK)
+_CHUNK_ID = "md5(doc_id::varchar || '#' || chunk_no::varchar)"
+_CHUNK_WEIGHTS = (chunk_ctes("documents", "doc_id", PARAGRAPH_BREAK) + ","
+                  + bucket_ctes("corpus", "chunks", "doc_id, chunk_no", "chunk_text"))
 _ITEM_HITS = f"with recursive {topk_ctes('benchmark', 'item_id')}"
 _TURNS = """
   turns as (select conv_id::varchar || '-' || turn::varchar as question, text
@@ -183,6 +186,15 @@ with norms as (select len(embedding)::int as dims,
                from embeddings)
 select dims, count(*) as n_vectors, round(min(norm), 4) as min_norm, round(max(norm), 4) as max_norm
 from norms group by dims""",
+    "vector_table": f"""with recursive {_CHUNK_WEIGHTS}
+select {_CHUNK_ID} as chunk_id, chunk_text, {DIMS} as dims, count(bucket)::int as n_used
+from chunks left join corpus using (doc_id, chunk_no) group by doc_id, chunk_no, chunk_text""",
+    "stored_topk": f"""with recursive {_CHUNK_WEIGHTS}, {bucket_ctes('asked', 'benchmark', 'item_id', 'text')},
+  scored as (
+    select item_id, doc_id, chunk_no, {_CHUNK_ID} as chunk_id, round(sum(c.weight * a.weight), {SCORE_DIGITS}) as score
+    from corpus c join asked a using (bucket) group by item_id, doc_id, chunk_no),
+  ranked as (select *, row_number() over (partition by item_id order by score desc, chunk_id)::int as rank from scored)
+select item_id, rank, chunk_id, score, chunk_text from ranked join chunks using (doc_id, chunk_no) where rank <= 3""",
     "vector_topk": f"select question, rank, vec_id from ({_vector_topk(3, DOT)})",
     "vector_topk_scored": f"select * from ({_vector_topk(10, COSINE)}) where score >= 0.2",
     "chunk_topk": f"""{_ITEM_HITS}

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marea.operators import chunking, embedding, html, prompts, retrieval
 from marea.plans.inputs import PARAGRAPH_BREAK, SCORE_DIGITS, table, texts
+from marea.session import scratch_path
+from marea.sources.readers import read_table
+from marea.sources.writers import write_layer
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,26 @@ def embedding_stats(spark, sf_dir):
     return embedding.embedding_stats(table(spark, sf_dir, "embeddings"))
 
 
+def _vector_table(spark, sf_dir) -> DataFrame:
+    """Chunks with vectors, written as a silver table and read back."""
+    vectors = embedding.embed_hash(_chunks(spark, sf_dir), "chunk_text")
+    path = write_layer(vectors.select("chunk_id", "chunk_text", "embedding"),
+                       scratch_path(spark, "layers"), "silver", "chunk_vectors")
+    return read_table(spark, path)
+
+
+def vector_table(spark, sf_dir):
+    return _vector_table(spark, sf_dir).select(
+        "chunk_id", "chunk_text", F.size("embedding").alias("dims"),
+        F.size(F.filter("embedding", lambda x: x != 0)).alias("n_used"))
+
+
+def stored_topk(spark, sf_dir):
+    """The three best chunks per benchmark item, out of the stored vector table."""
+    return prompts.retrieve_stored(_vector_table(spark, sf_dir), table(spark, sf_dir, "benchmark"),
+                                   question_id="item_id", question_text="text", digits=SCORE_DIGITS)
+
+
 def _label_questions(spark, sf_dir) -> DataFrame:
     """One question per label: the mean vector of its members."""
     means = retrieval.mean_vectors(table(spark, sf_dir, "embeddings"), "label", digits=6)
@@ -118,5 +141,6 @@ def rag_batch(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     split_paragraphs, filter_paragraphs, chunk_documents, chunk_stats, chunk_stats_total,
-    chunk_preview, html_to_text, html_chunks, embed_hash, embedding_stats, vector_topk,
+    chunk_preview, html_to_text, html_chunks, embed_hash, embedding_stats, vector_table,
+    stored_topk, vector_topk,
     vector_topk_scored, chunk_topk, rag_context, rag_answerable, rag_prompts, rag_batch)}
