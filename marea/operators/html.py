@@ -18,8 +18,14 @@ MARKUP_RULES = (
      "\n\n"),
     (r"<[^>]*>", ""),
 )
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&"))
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+    ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"),
+    ("&Aacute;", "Á"), ("&Eacute;", "É"), ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"),
+    ("&ntilde;", "ñ"), ("&Ntilde;", "Ñ"), ("&uuml;", "ü"), ("&Uuml;", "Ü"), ("&iquest;", "¿"),
+    ("&iexcl;", "¡"), ("&laquo;", "«"), ("&raquo;", "»"), ("&ndash;", "–"), ("&mdash;", "—"),
+    ("&hellip;", "…"), ("&copy;", "©"), ("&reg;", "®"), ("&amp;", "&"),
+)
 SPACE_RULES = (
     (r"[ \t\r]*\n[ \t\r]*", "\n"),
     (r"\n\n+", "\n\n"),

@@ -49,6 +49,7 @@ def test_compact_text_keeps_texts_apart(spark):
     ('<script>var t="</p>";</script><style>p{}</style><!-- <p>x</p> --><p>ok</p>', "ok"),
     ("<nav><a>menu</a></nav><DIV>1 &lt; 2 &amp;amp; 3</DIV>", "1 < 2 &amp; 3"),
     ("<p>abierto<p>otro &nbsp; más", "abierto\n\notro   más"),
+    ("<p>&iquest;Qu&eacute; a&ntilde;o?&hellip; &amp;lt;</p>", "¿Qué año?… &lt;"),
     ("", ""),
 ])
 def test_html(spark, html, text):
