@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from marea.session import checkpointed
+from marea.session import materialized
 
 MAX_ROWS = 100_000
 
@@ -27,7 +27,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, keep: bool = Fal
     """
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
-        return checkpointed(df) if keep else df
+        return materialized(df) if keep else df
     spark = df.sparkSession
     return F.broadcast(spark.createDataFrame(head, df.schema) if head.num_rows
                        else spark.createDataFrame([], df.schema))

@@ -16,29 +16,32 @@ from pyspark.sql import DataFrame, Window, functions as F
 from marea.functions.bounded import broadcast_if_small, local_frame
 
 ROWS_PER_BIN = 1_000_000
-MIN_BINS, MAX_BINS = 64, 16_384
+MAX_BINS = 16_384
 
 
-def _bins_for(df: DataFrame) -> int:
-    """Enough bins that each can be ordered by one task."""
-    return min(MAX_BINS, max(MIN_BINS, df.count() // ROWS_PER_BIN))
+def _with_bins(df: DataFrame, columns: list[str], bins: int | None) -> DataFrame:
+    """Add ``_bin_<column>``: increasing with the value, at about equal depth.
 
-
-def _splits(df: DataFrame, columns: list[str], bins: int) -> list[list[float]]:
-    """Increasing cut points per column, at about equal depth; one job for all."""
+    Without a wish for ``bins`` there are enough that one task can order each; rows
+    that a single task orders anyway need neither a sketch nor cut points.
+    """
+    bins = bins or min(MAX_BINS, df.count() // ROWS_PER_BIN + 1)
+    if bins == 1:
+        return df.withColumns({f"_bin_{c}": F.lit(0) for c in columns})
     marks = df.approxQuantile(columns, [i / bins for i in range(1, bins)], 1 / (2 * bins))
-    return [[float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")] for cuts in marks]
+    splits = [[float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")] for cuts in marks]
+    binned = Bucketizer(splitsArray=splits, inputCols=columns, outputCols=[f"_bin_{c}" for c in columns],
+                        handleInvalid="keep").transform(df)
+    return binned.withColumns({f"_bin_{c}": F.col(f"_bin_{c}").cast("int") for c in columns})
 
 
 def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int | None = None) -> DataFrame:
     """Long form ``column, group, bin, value``; missing values and groups drop out."""
     numbers = (df.where(F.col(group_col).isNotNull())
                .select(group_col, *[F.col(c).cast("double").alias(c) for c in columns]))
-    bucketizer = Bucketizer(splitsArray=_splits(numbers, columns, bins or _bins_for(numbers)), inputCols=columns,
-                            outputCols=[f"_bin_{c}" for c in columns], handleInvalid="keep")
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_bin_{c}").cast("int").alias("bin"),
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_bin_{c}").alias("bin"),
                                F.col(c).alias("value")) for c in columns])
-    return (bucketizer.transform(numbers).select(group_col, F.inline(cells))
+    return (_with_bins(numbers, columns, bins).select(group_col, F.inline(cells))
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
@@ -95,13 +98,12 @@ def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int | None = No
               .groupBy("score")
               .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))).persist()
     try:
-        splits = _splits(counts, ["score"], bins or _bins_for(counts))[0]
-        binned = Bucketizer(splits=splits, inputCol="score", outputCol="bin").transform(counts)
+        binned = _with_bins(counts, ["score"], bins).withColumnRenamed("_bin_score", "bin")
         # At most MAX_BINS + 1 rows.
         edges = binned.groupBy("bin").agg(F.sum("neg").alias("neg")).orderBy("bin").collect()
         below = accumulate((row["neg"] for row in edges[:-1]), initial=0)
         before = local_frame(df.sparkSession, [
-            {"bin": row["bin"], "before": n} for row, n in zip(edges, below)], "bin double, before long")
+            {"bin": row["bin"], "before": n} for row, n in zip(edges, below)], "bin int, before long")
         lower = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
         ranked = (binned.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
                   .join(F.broadcast(before), "bin"))

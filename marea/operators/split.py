@@ -31,11 +31,28 @@ def class_quotas(counts: dict, fraction: float) -> dict:
     return quota
 
 
+def _edges(bins: DataFrame, fraction: float, label_col: str) -> DataFrame:
+    """Per class the hash prefix at the cut, and how many of its rows are still test rows."""
+    spark, label_type = bins.sparkSession, bins.schema["label"].dataType.simpleString()
+    classes = bins.groupBy("label").agg(F.sum("n").alias("n")).limit(MAX_ROWS + 1).collect()
+    if len(classes) > MAX_ROWS:
+        raise ValueError(f"{label_col} has more than {MAX_ROWS} values: not a class label")
+    quotas = class_quotas({row["label"]: row["n"] for row in classes}, fraction) if classes else {}
+    quota_rows = local_frame(spark, [{"label": c, "quota": q} for c, q in quotas.items() if q > 0],
+                             f"label {label_type}, quota long")
+    by_bin = Window.partitionBy("label").orderBy("bin")
+    edge = (bins.withColumn("end", F.sum("n").over(by_bin)).join(F.broadcast(quota_rows), "label")
+            .where("quota <= end and quota > end - n")
+            .select("label", "bin", (F.col("quota") - F.col("end") + F.col("n")).alias("take")))
+    return broadcast_if_small(edge, keep=True)
+
+
 def stratified_split(df: DataFrame, id_col: str, label_col: str, fraction: float = 0.2,
                      seed: int = 42, hex_digits: int = 4) -> DataFrame:
     """Add ``part`` (``train`` / ``test``) with exact class shares.
 
-    Within a class the rows with the smallest hashes are the test rows. The cut is
+    Rows without a label are left out. Within a class the rows with the smallest
+    hashes are the test rows. The cut is
     found from counts per hash prefix, then from the rows that share the prefix at
     the cut, so a class is neither sorted nor shuffled, however large it is.
     """
@@ -43,20 +60,11 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, fraction: float
         F.col(id_col).alias("id"), F.col(label_col).alias("label"),
         F.md5(seeded(F.col(id_col), seed)).alias("hash"))
     rows = rows.withColumn("bin", F.substring("hash", 1, hex_digits))
-    bins = rows.groupBy("label", "bin").agg(F.count("*").alias("n"))
-    classes = bins.groupBy("label").agg(F.sum("n").alias("n")).limit(MAX_ROWS + 1).collect()
-    if len(classes) > MAX_ROWS:
-        raise ValueError(f"{label_col} has more than {MAX_ROWS} values: not a class label")
-    quotas = class_quotas({row["label"]: row["n"] for row in classes}, fraction) if classes else {}
-    label_type = df.schema[label_col].dataType.simpleString()
-    quota_rows = local_frame(df.sparkSession, [
-        {"label": c, "quota": q} for c, q in quotas.items() if q > 0], f"label {label_type}, quota long")
-
-    by_bin = Window.partitionBy("label").orderBy("bin")
-    edge = (bins.withColumn("end", F.sum("n").over(by_bin)).join(F.broadcast(quota_rows), "label")
-            .where("quota <= end and quota > end - n")
-            .select("label", "bin", (F.col("quota") - F.col("end") + F.col("n")).alias("take")))
-    edge = broadcast_if_small(edge, keep=True)
+    bins = rows.groupBy("label", "bin").agg(F.count("*").alias("n")).persist()
+    try:
+        edge = _edges(bins, fraction, label_col)
+    finally:
+        bins.unpersist()
     by_hash = Window.partitionBy("label").orderBy("hash", "id")
     cut = (rows.join(edge, ["label", "bin"]).withColumn("nth", F.row_number().over(by_hash))
            .where("nth = take").select(F.col("label").alias("_label"), F.col("hash").alias("_hash"),

@@ -9,7 +9,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 from marea.functions.partitions import spread
 from marea.operators.prepare import (as_category, coerce_numeric, impute_mean, standard_scale,
                                      target_encode)
-from marea.session import checkpointed
+from marea.session import materialized
 from marea.sources.readers import read_table
 
 PARAGRAPH_BREAK = "\n"    # the given documents separate paragraphs by single line breaks
@@ -63,7 +63,7 @@ SCORE_BIAS, SCORE_TENURE, SCORE_CHARGES = -0.7, -1.3, 0.5
 def churn_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers as numbers, gaps filled, label 0/1; written once to the shared folder,
     since several fits read it and each would aggregate the orders anew."""
-    numbers = checkpointed(coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]))
+    numbers = materialized(coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]))
     return target_encode(impute_mean(as_category(numbers, ["senior"]), ["total_charges"]), "churn")
 
 

@@ -12,7 +12,7 @@ from marea.operators import drift, metrics, models, prepare, profile, registry,
 from marea.operators.ordered import auc_roc as auc_of
 from marea.plans.inputs import (CATEGORICAL, DRIFT_EXPECTED, NUMERIC, churn_clean, churn_raw, churn_scored,
                                 drifted_customers, event_runs, part_versions, table)
-from marea.session import checkpointed, scratch_path
+from marea.session import materialized, scratch_path
 from marea.sources.readers import read_csv, read_table
 from marea.sources.writers import write_csv, write_layer
 
@@ -53,7 +53,7 @@ def category_by_target(spark, sf_dir):
 
 def numeric_by_target(spark, sf_dir):
     numbers = prepare.coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"])
-    return profile.numeric_by_target(checkpointed(numbers.select(LABEL, *NUMERIC)), LABEL, NUMERIC, digits=4)
+    return profile.numeric_by_target(materialized(numbers.select(LABEL, *NUMERIC)), LABEL, NUMERIC, digits=4)
 
 
 def boxplot_stats(spark, sf_dir):
@@ -69,7 +69,7 @@ def coerce_numeric(spark, sf_dir):
 
 def impute_mean(spark, sf_dir):
     numbers = prepare.coerce_numeric(churn_raw(spark, sf_dir), ["total_charges"]).select(ID, "total_charges")
-    return prepare.impute_mean(checkpointed(numbers), ["total_charges"]).select(
+    return prepare.impute_mean(materialized(numbers), ["total_charges"]).select(
         ID, F.round("total_charges", 4).alias("total_charges"))
 
 
@@ -145,7 +145,7 @@ def _training(spark, sf_dir):
     """(train, test, feature names); means and encoding are learnt from the training
     rows alone."""
     raw = prepare.coerce_numeric(prepare.as_category(churn_raw(spark, sf_dir), ["senior"]), ["total_charges"])
-    rows = spread(checkpointed(prepare.target_encode(raw, LABEL)))
+    rows = spread(materialized(prepare.target_encode(raw, LABEL)))
     parts = split.stratified_split(rows, ID, LABEL)
     train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
     means = prepare.column_means(train, ["total_charges"])

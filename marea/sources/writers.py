@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.session import checkpointed
+from marea.session import materialized
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -28,7 +28,7 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "par
 
 def replace_layer(df: DataFrame, root: str, layer: str, name: str, fmt: str = "parquet") -> str:
     """Overwrite a table with a frame that may have been read from that very table."""
-    return write_layer(checkpointed(df), root, layer, name, fmt)
+    return write_layer(materialized(df), root, layer, name, fmt)
 
 
 def save_table(df: DataFrame, table: str, fmt: str = "parquet", bucket_by: str | None = None,
