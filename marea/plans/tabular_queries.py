@@ -154,6 +154,13 @@ def _training(spark, sf_dir):
     return encoder.transform(train), encoder.transform(test), encoder.feature_names
 
 
+def training_rows(spark, sf_dir):
+    """What the classifiers are trained and tested on: scaled by training rows alone."""
+    train, test, _ = _training(spark, sf_dir)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select(ID, "part", LABEL, "senior", *[tidy(F.col(c), 4).alias(c) for c in NUMERIC])
+
+
 def _train(spark, sf_dir, classifier):
     train, test, features = _training(spark, sf_dir)
     return models.train_and_log(classifier, train, test, features, LABEL, EXPERIMENT)[1]
@@ -272,6 +279,6 @@ QUERIES = {f.__name__: f for f in (
     table_shape, profile_columns, duplicate_rows, class_balance, event_balance, category_by_target,
     numeric_by_target, boxplot_stats, coerce_numeric, impute_mean, target_encode, clean_data, standard_scale,
     encode_features, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
-    row_weights, classification_metrics, auc_roc, train_logistic, train_forest, run_log, batch_score,
+    row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score,
     champion_run, latest_runs, run_algorithms, latest_version, tag_version, score_report, class_report,
     gold_report, schema_align, drift_report, csv_roundtrip, layer_roundtrip)}
