@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from marea.functions.bounded import broadcast_if_small, local_frame
 
-ROWS_PER_BIN = 1_000_000
+ROWS_PER_BIN = 100_000
 MAX_BINS = 16_384
 
 
