@@ -18,7 +18,9 @@ from pyspark.sql.types import StructType
 from marea.functions.partitions import spread
 from marea.operators.metrics import classification_metrics, with_class_weights
 from marea.operators.ordered import auc_roc
+from marea.operators.prepare import FeatureEncoder, column_means, fit_encoder, impute_mean
 from marea.operators.registry import find_champion, find_version, run_row
+from marea.operators.split import stratified_split
 from marea.sources.readers import read_whole_text
 
 WEIGHT = "class_weight"
@@ -63,6 +65,24 @@ def forest(name: str = "Random_Forest_Balanced", trees: int = 100, depth: int =
         "class_weight": "balanced", "random_state": str(seed)})
 
 
+def training_frames(df: DataFrame, id_col: str, label_col: str, categorical: list[str],
+                    numeric: list[str], fraction: float = 0.2, seed: int = 42,
+                    fit_on: str = "train") -> tuple[DataFrame, DataFrame, FeatureEncoder]:
+    """Encoded (train, test) and the encoder, which also fills gaps of later batches.
+
+    Means, categories and scales are learnt from the training rows, or with
+    ``fit_on="all"`` from every row, which lets the test rows leak into them.
+    """
+    if fit_on not in ("train", "all"):
+        raise ValueError(f"unknown fit_on {fit_on!r}")
+    parts = stratified_split(df, id_col, label_col, fraction, seed)
+    train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
+    base = train if fit_on == "train" else parts
+    means = column_means(base, numeric)
+    encoder = fit_encoder(impute_mean(base, numeric, means), id_col, label_col, categorical, numeric, means)
+    return encoder.transform(train), encoder.transform(test), encoder
+
+
 def fit(classifier: Classifier, train: DataFrame, features: list[str], label_col: str) -> PipelineModel:
     """Fit on balanced class weights. The weighted rows stay on the executors (memory,
     then disk) while the fit reads them, spread over all cores."""
@@ -99,7 +119,7 @@ def evaluate(scored: DataFrame, label_col: str) -> dict[str, float]:
 
 def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, features: list[str],
                   label_col: str, experiment: str, model_root: str | None = None,
-                  tags: dict[str, str] | None = None) -> tuple[PipelineModel | None, DataFrame]:
+                  encoder: FeatureEncoder | None = None, tags: dict[str, str] | None = None) -> tuple[PipelineModel | None, DataFrame]:
     """Fit, evaluate on ``test``, save, and return the model with its row for the
     ``runs`` table. A run that breaks is logged as FAILED, with the error as a tag."""
     run_id = uuid.uuid4().hex
@@ -108,7 +128,8 @@ def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, fea
     try:
         model = fit(classifier, train, features, label_col)
         metrics = evaluate(score(model, test), label_col)
-        uri = save_model(model, train.select(*features), f"{model_root}/{run_id}") if model_root else None
+        uri = (save_model(model, train.select(*features), f"{model_root}/{run_id}", encoder)
+               if model_root else None)
     except Exception as error:  # noqa: BLE001 - the failure is the record
         return None, run_row(spark, experiment, run_id, classifier.name, classifier.params, {},
                              {**labels, "error": str(error)[:500]}, "FAILED")
@@ -116,16 +137,28 @@ def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, fea
                           labels, "FINISHED", uri)
 
 
-def save_model(model: PipelineModel, features: DataFrame, path: str) -> str:
-    """Save the model, the schema of its features and five of their rows as an
-    example; returns the path."""
+def save_model(model: PipelineModel, features: DataFrame, path: str,
+               encoder: FeatureEncoder | None = None) -> str:
+    """Save the model, the schema of its features, five of their rows as an example,
+    and the encoder that makes them; returns the path."""
     model.write().overwrite().save(f"{path}/model")
-    signature = SparkSession.active().createDataFrame([(features.schema.json(),)], "signature string")
-    signature.coalesce(1).write.mode("overwrite").text(f"{path}/signature")
+    _write_text(features.schema.json(), f"{path}/signature")
     features.limit(5).write.mode("overwrite").json(f"{path}/input_example")
+    if encoder is not None:
+        _write_text(encoder.to_json(), f"{path}/encoder")
     return path
 
 
+def _write_text(text: str, path: str) -> None:
+    row = SparkSession.active().createDataFrame([(text,)], "value string")
+    row.coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_encoder(path: str) -> FeatureEncoder:
+    """The encoder saved beside a model."""
+    return FeatureEncoder.from_json(read_whole_text(SparkSession.active(), f"{path}/encoder").first()[0])
+
+
 def load_model(path: str) -> tuple[PipelineModel, StructType]:
     """The model and the feature schema it expects."""
     text = read_whole_text(SparkSession.active(), f"{path}/signature").first()[0]

@@ -70,14 +70,16 @@ def standard_scale(df: DataFrame, columns: list[str],
 class FeatureEncoder:
     """A fitted encoding: one 0/1 column per category but the first, then scaled numbers.
 
-    Other columns are dropped, except the id (moved to the front) and the label
-    (moved to the end), which travel along and so never need to be joined back.
+    Gaps in a number take its mean where ``means`` knows one. Other columns are
+    dropped, except the id (moved to the front) and the label (moved to the end),
+    which travel along and so never need to be joined back.
     """
 
     id_col: str
     label_col: str
     categories: dict[str, list[str | None]] = field(default_factory=dict)
     stats: dict[str, tuple[float, float]] = field(default_factory=dict)
+    means: dict[str, float] = field(default_factory=dict)
 
     @property
     def raw_names(self) -> list[str]:
@@ -92,7 +94,9 @@ class FeatureEncoder:
     def transform(self, df: DataFrame) -> DataFrame:
         dummies = [F.col(c).eqNullSafe(F.lit(v)).cast("double")
                    for c, values in self.categories.items() for v in values[1:]]
-        scaled = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in self.stats.items()]
+        numbers = {c: F.coalesce(no_nan(F.col(c).cast("double")), F.lit(self.means.get(c)).cast("double"))
+                   for c in self.stats}
+        scaled = [(numbers[c] - F.lit(m)) / F.lit(s) for c, (m, s) in self.stats.items()]
         features = [col.alias(name) for col, name in zip(dummies + scaled, self.raw_names)]
         label = [self.label_col] if self.label_col in df.columns else []
         return sanitize_columns(df.select(self.id_col, *features, *label))
@@ -108,10 +112,11 @@ class FeatureEncoder:
 
 
 def fit_encoder(df: DataFrame, id_col: str, label_col: str, categorical: list[str],
-                numeric: list[str]) -> FeatureEncoder:
+                numeric: list[str], means: dict[str, float] | None = None) -> FeatureEncoder:
     """Learn categories and scales: one distinct over all categorical columns, one
     aggregate over all numeric ones. Too many categories for columns of their own
-    are refused: ``sparse_encoder`` keeps those in one vector."""
+    are refused: ``sparse_encoder`` keeps those in one vector. ``means`` are those
+    that filled the gaps of ``df``, for the gaps of later batches."""
     categories: dict[str, list[str | None]] = {c: [] for c in categorical}
     if categorical:
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
@@ -121,7 +126,8 @@ def fit_encoder(df: DataFrame, id_col: str, label_col: str, categorical: list[st
             raise ValueError(f"more than {MAX_CATEGORIES} categories; use sparse_encoder")
         for row in sorted(seen, key=lambda r: (r["value"] is None, r["value"] or "")):
             categories[row["column"]].append(row["value"])
-    return FeatureEncoder(id_col, label_col, categories, numeric_stats(df, numeric) if numeric else {})
+    return FeatureEncoder(id_col, label_col, categories, numeric_stats(df, numeric) if numeric else {},
+                          means or {})
 
 
 def sparse_encoder(categorical: list[str], numeric: list[str], out: str = "features") -> Pipeline:

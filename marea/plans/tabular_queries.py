@@ -142,16 +142,10 @@ def auc_roc(spark, sf_dir):
 # --- models ---
 
 def _training(spark, sf_dir):
-    """(train, test, feature names); means and encoding are learnt from the training
-    rows alone."""
+    """(train, test, encoder) over churn rows written once."""
     raw = prepare.coerce_numeric(prepare.as_category(churn_raw(spark, sf_dir), ["senior"]), ["total_charges"])
     rows = spread(materialized(prepare.target_encode(raw, LABEL)))
-    parts = split.stratified_split(rows, ID, LABEL)
-    train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
-    means = prepare.column_means(train, ["total_charges"])
-    train, test = (prepare.impute_mean(df, ["total_charges"], means) for df in (train, test))
-    encoder = prepare.fit_encoder(train, ID, LABEL, CATEGORICAL, NUMERIC)
-    return encoder.transform(train), encoder.transform(test), encoder.feature_names
+    return models.training_frames(rows, ID, LABEL, CATEGORICAL, NUMERIC)
 
 
 def training_rows(spark, sf_dir):
@@ -162,8 +156,8 @@ def training_rows(spark, sf_dir):
 
 
 def _train(spark, sf_dir, classifier):
-    train, test, features = _training(spark, sf_dir)
-    return models.train_and_log(classifier, train, test, features, LABEL, EXPERIMENT)[1]
+    train, test, encoder = _training(spark, sf_dir)
+    return models.train_and_log(classifier, train, test, encoder.feature_names, LABEL, EXPERIMENT)[1]
 
 
 def train_logistic(spark, sf_dir):
@@ -180,10 +174,10 @@ def _metric_rows(runs: DataFrame) -> DataFrame:
 
 def run_log(spark, sf_dir):
     """Both classifiers on one split: parameters, metrics and tags as rows."""
-    train, test, features = _training(spark, sf_dir)
+    train, test, encoder = _training(spark, sf_dir)
     runs = None
     for classifier in (models.logistic(), models.forest()):
-        row = models.train_and_log(classifier, train, test, features, LABEL, EXPERIMENT)[1]
+        row = models.train_and_log(classifier, train, test, encoder.feature_names, LABEL, EXPERIMENT)[1]
         runs = row if runs is None else runs.unionByName(row)
     pairs = [F.transform(F.map_entries(F.col(c).cast("map<string,string>")), lambda e, kind=c: F.struct(
         F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("value")))
@@ -192,12 +186,14 @@ def run_log(spark, sf_dir):
 
 
 def batch_score(spark, sf_dir):
-    """A logistic model, saved and loaded again, over every customer."""
-    train, test, features = _training(spark, sf_dir)
-    path = models.save_model(models.fit(models.logistic(), train, features, LABEL),
-                             train.select(*features), scratch_path(spark, "model"))
+    """A logistic model and its encoder, saved and loaded again, over every customer."""
+    train, _, encoder = _training(spark, sf_dir)
+    features = train.select(*encoder.feature_names)
+    path = models.save_model(models.fit(models.logistic(), train, encoder.feature_names, LABEL), features,
+                             scratch_path(spark, "model"), encoder)
     model, signature = models.load_model(path)
-    rows = train.unionByName(test)
+    raw = prepare.coerce_numeric(prepare.as_category(churn_raw(spark, sf_dir), ["senior"]), ["total_charges"])
+    rows = models.load_encoder(path).transform(prepare.target_encode(raw, LABEL))
     # What the model expects, between the id and the label that travel along.
     expected = StructType([rows.schema[ID], *signature, rows.schema[LABEL]])
     return reports.score_report(models.score(model, drift.align_schema(rows, expected)), ID, LABEL)

@@ -124,6 +124,24 @@ def test_train_save_load_score(spark, customers, tmp_path):
     assert reports.class_report(models.score(loaded, test), "id", "y").columns == ["id", "prediction", "y"]
 
 
+def test_training_frames_and_saved_encoder(spark, tmp_path):
+    df = spark.range(200).select(
+        "id", F.when(F.col("id") % 9 != 0, F.col("id").cast("double")).alias("n"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("c"), (F.col("id") > 120).cast("int").alias("y"))
+    train, test, encoder = models.training_frames(df, "id", "y", ["c"], ["n"])
+    assert (train.count(), test.count()) == (160, 40) and encoder.feature_names == ["c_b", "n"]
+    seen = [r["id"] for r in train.collect() if r["id"] % 9 != 0]
+    assert encoder.means["n"] == pytest.approx(sum(seen) / len(seen))
+    assert models.training_frames(df, "id", "y", ["c"], ["n"], fit_on="all")[2].means["n"] != encoder.means["n"]
+    model = models.fit(models.logistic(), train, encoder.feature_names, "y")
+    path = models.save_model(model, train.select(*encoder.feature_names), str(tmp_path / "m"), encoder)
+    fresh = models.load_encoder(path).transform(df.drop("y"))
+    assert fresh.where("n is null").count() == 0
+    assert models.score(models.load_model(path)[0], fresh).count() == 200
+    with pytest.raises(ValueError):
+        models.training_frames(df, "id", "y", ["c"], ["n"], fit_on="some")
+
+
 def test_forest(spark, customers):
     _, run = models.train_and_log(models.forest(trees=10, depth=4), customers, customers, ["a", "b"], "y", "demo")
     assert run.first()["metrics"]["auc"] > 0.9
