@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from marea.functions.hashing import seeded_number
 
 KEY_BITS = 60           # of the md5 numbers that order rows
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 4_000
 
 # --- Fixed values -----------------------------------------------------------
 # A word is a run of characters other than ASCII white space.
