@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.llm import mixing, packing, quality, sharding, toxicity
+from marea.llm import fingerprint, mixing, packing, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
     "op4_packing": packing.op4_packing,
+    "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
 }
