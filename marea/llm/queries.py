@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.llm import fingerprint, mixing, packing, quality, sharding, toxicity
+from marea.llm import fingerprint, mixing, ngram_join, packing, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 CHECKS: dict[str, str] = {"op2_mixing": mixing.OP2_SQL}
