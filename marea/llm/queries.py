@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.llm import fingerprint, mixing, near_dup, ngram_join, packing, quality, sharding, toxicity
+from marea.llm import fingerprint, mixing, near_dup, ngram_join, packing, pii, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1_near_dup,
     "op2_mixing": mixing.op2_mixing,
     "op3_quality": quality.op3_quality,
     "op4_packing": packing.op4_packing,
+    "op5_pii": pii.op5_pii,
     "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
