@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.llm import fingerprint, mixing, near_dup, ngram_join, packing, pii, quality, sharding, toxicity
+from marea.llm import fingerprint, licenses, mixing, near_dup, ngram_join, packing, pii, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1_near_dup,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_sharding": sharding.op8_sharding,
+    "op9_licenses": licenses.op9_licenses,
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
