@@ -105,22 +105,23 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, seed: int = SEED, id_col:
     The plan cuts a source at one point of its hash order, so a row per source says
     it all and no text is shuffled. Rows that share an id and a size share its fate.
     """
-    at = F.struct("key", "doc_id", "size")
     cuts = plan.groupBy("src").agg(
         F.max("epochs").alias("epochs"),
         F.max(F.when(F.col("part") > 0, F.struct("key", "doc_id", "size", "part"))).alias("last"))
     names = docs.columns
-    rule, size, here, times = (fresh(names, n) for n in ("rule", "size", "here", "times"))
-    cuts = cuts.select(F.col("src").alias(here), F.struct("epochs", "last").alias(rule))
+    size, here, times, epochs, key, last_id, last_size, last_part = (
+        fresh(names, n) for n in ("size", "here", "times", "epochs", "key", "last_id", "last_size", "last_part"))
+    cuts = cuts.select(F.col("src").alias(here), F.col("epochs").alias(epochs), F.col("last.key").alias(key),
+                       F.col("last.doc_id").alias(last_id), F.col("last.size").alias(last_size),
+                       F.col("last.part").alias(last_part))
     doc_id, text = column(docs, id_col), column(docs, text_col)
     marked = docs.select("*", source_key(column(docs, source_col)).alias(here), words(text).alias(size))
-    last = F.col(rule)["last"]
-    own = F.struct(hash_key(doc_id, seed).alias("key"), doc_id.alias("doc_id"),
-                   F.col(size).alias("size"))
-    end = F.struct(last["key"].alias("key"), last["doc_id"].alias("doc_id"), last["size"].alias("size"))
-    part = (F.when(last.isNull() | (F.col(size) == 0), F.lit(0).cast("long"))
-            .when(own < end, F.col(size)).when(own == end, last["part"]).otherwise(F.lit(0).cast("long")))
-    full = F.when(F.col(size) > 0, F.col(rule)["epochs"]).otherwise(F.lit(0))
+    own = F.struct(hash_key(doc_id, seed).alias("key"), doc_id.alias("doc_id"), F.col(size).alias("size"))
+    end = F.struct(F.col(key).alias("key"), F.col(last_id).alias("doc_id"), F.col(last_size).alias("size"))
+    none = F.lit(0).cast("long")
+    part = (F.when(F.col(last_part).isNull() | (F.col(size) == 0), none)
+            .when(own < end, F.col(size)).when(own == end, F.col(last_part)).otherwise(none))
+    full = F.when(F.col(size) > 0, F.col(epochs)).otherwise(none)
     parts = F.concat(F.array_repeat(F.col(size), full.cast("int")), F.filter(F.array(part), lambda n: n > 0))
     taken = marked.join(broadcast_if_small(cuts), here).select("*", F.explode(parts).alias(times))
     shortened = F.when(F.col(times) < F.col(size), first_words(column(taken, text_col), F.col(times))) \
