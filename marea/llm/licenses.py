@@ -47,8 +47,10 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
+                "Licensed under the GNU General Public License, version 2."],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
+                "Licensed under the GNU General Public License, version 3."],
     "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
