@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from marea.session import materialized
 
-MAX_ROWS = 100_000
+MAX_ROWS = 500_000
+MAX_BYTES = 32 * 1024 * 1024
 
 
 def local_frame(spark: SparkSession, rows: list[dict], schema: StructType | str) -> DataFrame:
@@ -18,16 +19,17 @@ def local_frame(spark: SparkSession, rows: list[dict], schema: StructType | str)
     return spark.createDataFrame(pa.Table.from_pylist(rows), schema)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, keep: bool = False) -> DataFrame:
-    """Evaluate a statistics frame once and mark it for broadcast if it fits.
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Evaluate a statistics frame once, into the shared folder, and mark the written table
+    for broadcast if it has at most ``max_rows`` rows that take at most ``max_bytes``.
 
-    At most ``max_rows + 1`` rows reach the driver. A larger frame comes back
-    without a hint, so that the join shuffles both sides instead; ``keep`` then
-    writes it to the shared folder rather than computing it anew per use.
+    A larger one comes back without a hint, so that the join shuffles both sides. Either
+    way it is computed once, however often it is used.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return materialized(df) if keep else df
-    spark = df.sparkSession
-    return F.broadcast(spark.createDataFrame(head, df.schema) if head.num_rows
-                       else spark.createDataFrame([], df.schema))
+    written = materialized(df)
+    sizes = [F.octet_length(F.col("`" + f.name.replace("`", "``") + "`")) if isinstance(f.dataType, (StringType, BinaryType))
+             else F.size(F.col("`" + f.name.replace("`", "``") + "`")) * 8 if isinstance(f.dataType, ArrayType)
+             else F.lit(16) for f in df.schema]
+    row = sum(map(lambda size: F.coalesce(size, F.lit(0)), sizes), F.lit(0).cast("long"))
+    found = written.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(written) if found["rows"] <= max_rows and found["bytes"] <= max_bytes else written

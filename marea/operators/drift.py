@@ -10,7 +10,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (DecimalType, FractionalType, IntegralType, NumericType, StringType, StructField,
+                               StructType)
 
 from marea.functions.numeric import to_number
 
@@ -24,6 +25,8 @@ SYNONYMS = {
 }
 # -------------------------------------------------------------------------------------------
 
+WIDE = "decimal(38,18)"     # holds every long, and fractions by which a number is not whole
+
 
 @dataclass
 class Alignment:
@@ -73,10 +76,18 @@ def _quoted(name: str) -> Column:
 
 
 def _cast(col: Column, have, want) -> Column:
+    """The value in the wanted type, or null where it would be another value there: whole
+    numbers may be written ``12.0`` or ``1e3``, but 12.7 is none."""
     if have == want:
         return col
+    whole = isinstance(want, IntegralType)
     if isinstance(have, StringType) and isinstance(want, NumericType):
-        return to_number(col, want.simpleString())
+        if not whole:
+            return to_number(col, want.simpleString())
+        exact = to_number(col, WIDE)
+        return F.when(exact == F.floor(exact), exact.try_cast(want))
+    if whole and isinstance(have, (FractionalType, DecimalType)):
+        return F.when(col == F.floor(col), col.try_cast(want))
     return col.try_cast(want)
 
 

@@ -4,42 +4,71 @@ string functions per row."""
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# --- Fixed values: (regular expression, replacement), applied in this order ---
+# --- Fixed values -----------------------------------------------------------
+# Elements whose content is no text; without an end tag they last to the end of the page.
+HIDDEN = ("script", "style", "nav", "template", "noscript")
+# Elements that stand apart as paragraphs of their own, and those on lines of their own.
+BLOCKS = ("address article aside blockquote body details dialog div dl fieldset figcaption figure footer form "
+          "h[1-6] head header hr html legend li main ol option p pre section select summary table tbody tfoot "
+          "thead title tr ul").split()
+LINES = "caption dd dt td th".split()
+# ----------------------------------------------------------------------------
+
+# (regular expression, replacement), applied in this order.
 MARKUP_RULES = (
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<script\b.*?</script\s*>", ""),
-    (r"(?is)<style\b.*?</style\s*>", ""),
-    (r"(?is)<nav\b.*?</nav\s*>", ""),
-    (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)</?(p|div|section|article|header|footer|h[1-6]|ul|ol|li|table|tr|title|body|head|html)\b[^>]*>",
-     "\n\n"),
+    (r"(?s)<!--.*?(?:-->|\z)", ""),
+    *((rf"(?is)<{name}\b.*?(?:</{name}\s*>|\z)", "") for name in HIDDEN),
+    (r"(?i)<br\b[^>]*>", "\n"),
+    (rf"(?i)</?(?:{'|'.join(LINES)})\b[^>]*>", "\n"),
+    (rf"(?i)</?(?:{'|'.join(BLOCKS)})\b[^>]*>", "\n\n"),
     (r"<[^>]*>", ""),
 )
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"),
-    ("&Aacute;", "Á"), ("&Eacute;", "É"), ("&Iacute;", "Í"), ("&Oacute;", "Ó"), ("&Uacute;", "Ú"),
-    ("&ntilde;", "ñ"), ("&Ntilde;", "Ñ"), ("&uuml;", "ü"), ("&Uuml;", "Ü"), ("&iquest;", "¿"),
-    ("&iexcl;", "¡"), ("&laquo;", "«"), ("&raquo;", "»"), ("&ndash;", "–"), ("&mdash;", "—"),
-    ("&hellip;", "…"), ("&copy;", "©"), ("&reg;", "®"), ("&amp;", "&"),
-)
 SPACE_RULES = (
+    ("\u00a0", " "),
     (r"[ \t\r]*\n[ \t\r]*", "\n"),
     (r"\n\n+", "\n\n"),
     (r"^\n+|\n+$", ""),
 )
-# ------------------------------------------------------------------------------
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});?"
+
+
+def code_point(number: Column) -> Column:
+    """The character of a code point; null for a number that is none."""
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
+
+
+def referred(reference: Column) -> Column:
+    """What a character reference stands for; an unknown one stands for itself. Names
+    may lack the semicolon only where the standard's table has them without."""
+    names = F.create_map(*[F.lit(text) for name, value in html5.items() for text in (f"&{name}", value)])
+    decimal = F.regexp_extract(reference, "^&#([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(reference, "^&#[xX]([0-9a-fA-F]+)", 1)
+    return F.coalesce(
+        F.when(decimal != "", code_point(decimal.cast("long")))
+        .when(hexadecimal != "", code_point(F.conv(hexadecimal, 16, 10).cast("long")))
+        .otherwise(F.try_element_at(names, reference)), reference)
+
+
+def unescaped(text: Column) -> Column:
+    """All character references of a text replaced in one pass, so that what one of them
+    stands for is never read as part of another."""
+    between = F.split(text, REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), referred)
+    joined = F.array_join(F.zip_with(between, found, lambda before, new: F.concat(before, F.coalesce(new, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def html_text(html: Column) -> Column:
-    """Visible text with blank lines between blocks; comments, scripts, styles and
-    navigation go first, so that markup inside a script string does no harm."""
+    """Visible text with blank lines between blocks and line breaks between table cells;
+    comments, scripts, styles and navigation go first, so that markup inside a script
+    string does no harm."""
     text = reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), MARKUP_RULES, html)
-    text = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), ENTITIES, text)
-    return reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), SPACE_RULES, text)
+    return reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), SPACE_RULES, unescaped(text))
 
 
 def html_to_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -46,22 +46,25 @@ def logistic(name: str = "Logistic_Regression_Balanced", c: float = 1.0) -> Clas
         return LogisticRegression(labelCol=label_col, weightCol=WEIGHT, regParam=1.0 / (c * n_rows),
                                   elasticNetParam=0.0, standardization=False)
 
-    return Classifier(name, build, {"C": str(c), "class_weight": "balanced"})
+    return Classifier(name, build, {"C": str(c), "class_weight": "balanced", "regParam": "1 / (C * rows)",
+                                    "standardization": "false"})
 
 
 def forest(name: str = "Random_Forest_Balanced", trees: int = 100, depth: int = 10,
            min_split: int = 5, seed: int = 42) -> Classifier:
     """Random forest with balanced classes. Spark bounds the size of the children
     rather than of the node to split, so ``min_split`` rows become at least half
-    of that per child."""
+    of that per child; both numbers are logged."""
+    per_child = max(1, min_split // 2)
 
     def build(n_rows: int, label_col: str) -> Estimator:
         return RandomForestClassifier(
             labelCol=label_col, weightCol=WEIGHT, numTrees=trees, maxDepth=depth,
-            minInstancesPerNode=max(1, min_split // 2), featureSubsetStrategy="sqrt", seed=seed)
+            minInstancesPerNode=per_child, featureSubsetStrategy="sqrt", seed=seed)
 
     return Classifier(name, build, {
         "n_estimators": str(trees), "max_depth": str(depth), "min_samples_split": str(min_split),
+        "minInstancesPerNode": str(per_child), "featureSubsetStrategy": "sqrt",
         "class_weight": "balanced", "random_state": str(seed)})
 
 
@@ -119,9 +122,11 @@ def evaluate(scored: DataFrame, label_col: str) -> dict[str, float]:
 
 def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, features: list[str],
                   label_col: str, experiment: str, model_root: str | None = None,
-                  encoder: FeatureEncoder | None = None, tags: dict[str, str] | None = None) -> tuple[PipelineModel | None, DataFrame]:
+                  encoder: FeatureEncoder | None = None, tags: dict[str, str] | None = None,
+                  log_failure: bool = False) -> tuple[PipelineModel | None, DataFrame]:
     """Fit, evaluate on ``test``, save, and return the model with its row for the
-    ``runs`` table. A run that breaks is logged as FAILED, with the error as a tag."""
+    ``runs`` table. A run that breaks raises its error; with ``log_failure`` its row is
+    returned instead, FAILED and with the whole error as a tag."""
     run_id = uuid.uuid4().hex
     spark = train.sparkSession
     labels = {"env": "dev", "algorithm": classifier.name.split("_")[0], **(tags or {})}
@@ -131,8 +136,10 @@ def train_and_log(classifier: Classifier, train: DataFrame, test: DataFrame, fea
         uri = (save_model(model, train.select(*features), f"{model_root}/{run_id}", encoder)
                if model_root else None)
     except Exception as error:  # noqa: BLE001 - the failure is the record
+        if not log_failure:
+            raise
         return None, run_row(spark, experiment, run_id, classifier.name, classifier.params, {},
-                             {**labels, "error": str(error)[:500]}, "FAILED")
+                             {**labels, "error": str(error)}, "FAILED")
     return model, run_row(spark, experiment, run_id, classifier.name, classifier.params, metrics,
                           labels, "FINISHED", uri)
 

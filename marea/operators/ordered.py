@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from marea.functions.bounded import broadcast_if_small, local_frame
 
 ROWS_PER_BIN = 100_000
-MAX_BINS = 16_384
 
 
 def _with_bins(df: DataFrame, columns: list[str], bins: int | None) -> DataFrame:
@@ -25,7 +24,7 @@ def _with_bins(df: DataFrame, columns: list[str], bins: int | None) -> DataFrame
     Without a wish for ``bins`` there are enough that one task can order each; rows
     that a single task orders anyway need neither a sketch nor cut points.
     """
-    bins = bins or min(MAX_BINS, df.count() // ROWS_PER_BIN + 1)
+    bins = bins or df.count() // ROWS_PER_BIN + 1
     if bins == 1:
         return df.withColumns({f"_bin_{c}": F.lit(0) for c in columns})
     marks = df.approxQuantile(columns, [i / bins for i in range(1, bins)], 1 / (2 * bins))
@@ -63,7 +62,7 @@ def exact_quantiles(binned: DataFrame, group_col: str, probs: dict[str, float])
                               for name, h in place.items()
                               for side in (F.floor(h), F.ceil(h))])))
               .where("pos >= before and pos < end").select(*keys, "bin", "total", "before", "name", "pos"))
-    wanted = broadcast_if_small(wanted.distinct(), keep=True)
+    wanted = broadcast_if_small(wanted.distinct())
 
     inside = binned.join(wanted.select(*keys, "bin").distinct(), [*keys, "bin"])
     by_value = Window.partitionBy(*keys, "bin").orderBy("value")
@@ -99,7 +98,7 @@ def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int | None = No
               .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))).persist()
     try:
         binned = _with_bins(counts, ["score"], bins).withColumnRenamed("_bin_score", "bin")
-        # At most MAX_BINS + 1 rows.
+        # One row per bin, that is, per ROWS_PER_BIN rows.
         edges = binned.groupBy("bin").agg(F.sum("neg").alias("neg")).orderBy("bin").collect()
         below = accumulate((row["neg"] for row in edges[:-1]), initial=0)
         before = local_frame(df.sparkSession, [

@@ -5,15 +5,13 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, functions as F
 
+from marea.functions.bounded import local_frame
 from marea.functions.numeric import no_nan, to_number
 from marea.functions.text import clean_name
 
-MAX_CATEGORIES = 2000   # columns an encoded table may gain
-
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Text to double; what is no number becomes null."""
@@ -114,28 +112,65 @@ class FeatureEncoder:
 def fit_encoder(df: DataFrame, id_col: str, label_col: str, categorical: list[str],
                 numeric: list[str], means: dict[str, float] | None = None) -> FeatureEncoder:
     """Learn categories and scales: one distinct over all categorical columns, one
-    aggregate over all numeric ones. Too many categories for columns of their own
-    are refused: ``sparse_encoder`` keeps those in one vector. ``means`` are those
-    that filled the gaps of ``df``, for the gaps of later batches."""
+    aggregate over all numeric ones. The categories are the names of features, so the
+    driver holds each of them once; ``sparse_features`` keeps thousands of them in one
+    vector. ``means`` are those that filled the gaps of ``df``, for later batches."""
     categories: dict[str, list[str | None]] = {c: [] for c in categorical}
     if categorical:
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                           for c in categorical])
-        seen = df.select(F.inline(cells)).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(seen) > MAX_CATEGORIES:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories; use sparse_encoder")
+        seen = df.select(F.inline(cells)).distinct().collect()
         for row in sorted(seen, key=lambda r: (r["value"] is None, r["value"] or "")):
             categories[row["column"]].append(row["value"])
     return FeatureEncoder(id_col, label_col, categories, numeric_stats(df, numeric) if numeric else {},
                           means or {})
 
 
-def sparse_encoder(categorical: list[str], numeric: list[str], out: str = "features") -> Pipeline:
-    """The same encoding as one sparse vector column, for any number of categories."""
-    codes, dummies = [f"_{c}_code" for c in categorical], [f"_{c}_dummy" for c in categorical]
-    stages = [
-        StringIndexer(inputCols=categorical, outputCols=codes, stringOrderType="alphabetDesc",
-                      handleInvalid="keep"),
-        OneHotEncoder(inputCols=codes, outputCols=dummies, dropLast=True, handleInvalid="keep"),
-    ] if categorical else []
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=dummies + numeric, outputCol=out)])
+def sparse_features(encoder: FeatureEncoder, df: DataFrame, out: str = "features") -> DataFrame:
+    """``encoder.transform`` with one sparse vector ``out`` in place of the feature columns:
+    the same categories, numbers and order, for any number of categories.
+
+    A category that the encoder never saw is all zeros in both forms; see
+    ``unseen_categories``.
+    """
+    texts = {c: f"_{c}_text" for c in encoder.categories}
+    codes = {c: f"_{c}_code" for c in encoder.categories}
+    dummies = {c: f"_{c}_dummy" for c in encoder.categories}
+    numbers = {c: f"_{c}_number" for c in encoder.stats}
+    marked = df.withColumns(
+        {texts[c]: _category_text(F.col(c)) for c in texts}
+        | {numbers[c]: (F.coalesce(no_nan(F.col(c).cast("double")), F.lit(encoder.means.get(c)).cast("double"))
+                        - F.lit(m)) / F.lit(s) for c, (m, s) in encoder.stats.items()})
+    # The one-hot encoder drops the last code, so the first category, which has no column, comes last.
+    wide = {c: values for c, values in encoder.categories.items() if len(values) > 1}
+    if wide:
+        labels = [[("n" if v is None else f"v{v}") for v in [*values[1:], values[0]]] for values in wide.values()]
+        indexer = StringIndexerModel.from_arrays_of_labels(
+            labels, inputCols=[texts[c] for c in wide], outputCols=[codes[c] for c in wide], handleInvalid="keep")
+        last = {c: float(len(values) - 1) for c, values in wide.items()}
+        coded = indexer.transform(marked).withColumns({codes[c]: F.least(codes[c], F.lit(last[c])) for c in wide})
+        widest = local_frame(df.sparkSession, [{codes[c]: n for c, n in last.items()}],
+                             ", ".join(f"`{codes[c]}` double" for c in wide))
+        marked = OneHotEncoder(inputCols=[codes[c] for c in wide], outputCols=[dummies[c] for c in wide],
+                               dropLast=True).fit(widest).transform(coded)
+    assembler = VectorAssembler(inputCols=[*(dummies[c] for c in wide), *numbers.values()], outputCol=out,
+                                handleInvalid="keep")
+    label = [encoder.label_col] if encoder.label_col in df.columns else []
+    return assembler.transform(marked).select(encoder.id_col, out, *label)
+
+
+def _category_text(col: Column) -> Column:
+    return F.when(col.isNull(), "n").otherwise(F.concat(F.lit("v"), col.cast("string")))
+
+
+def unseen_categories(encoder: FeatureEncoder, df: DataFrame) -> DataFrame:
+    """``column, value, n``: the categories in ``df`` that the encoder never saw, which it
+    encodes as all zeros."""
+    spark = df.sparkSession
+    known = local_frame(spark, [{"column": c, "value": v} for c, values in encoder.categories.items() for v in values],
+                        "column string, value string")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for c in encoder.categories])
+    counts = df.select(F.inline(cells)).groupBy("column", "value").agg(F.count("*").alias("n"))
+    same = (counts["column"] == known["column"]) & counts["value"].eqNullSafe(known["value"])
+    return counts.join(known, same, "left_anti")

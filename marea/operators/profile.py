@@ -25,6 +25,13 @@ def _as_text(df: DataFrame, name: str) -> Column:
             else col).cast("string")
 
 
+def _blank(df: DataFrame, name: str) -> Column:
+    """Whether a text holds nothing but spaces; asked before long texts become digests."""
+    if not isinstance(df.schema[name].dataType, StringType):
+        return F.lit(False)
+    return F.coalesce(F.trim(F.col(name)) == "", F.lit(False))
+
+
 def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: position, type, rows, nulls, null share in %, blanks, distinct values.
 
@@ -32,11 +39,11 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     by digest. ``exact=False`` estimates the distinct values in one pass instead.
     """
     long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), _as_text(df, f.name).alias("value"))
+        F.struct(F.lit(i).alias("position"), _as_text(df, f.name).alias("value"), _blank(df, f.name).alias("blank"))
         for i, f in enumerate(df.schema)])))
-    blank = F.coalesce((F.trim("value") == "").cast("int"), F.lit(0))
+    blank = F.col("blank").cast("int")
     if exact:
-        values = long.groupBy("position", "value").agg(F.count("*").alias("n"))
+        values = long.groupBy("position", "value", "blank").agg(F.count("*").alias("n"))
         stats = values.groupBy("position").agg(
             F.sum("n").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
@@ -106,7 +113,7 @@ def boxplot_stats(df: DataFrame, target: str, columns: list[str] | None = None,
     names = columns or [c for c in columns_of(df, NumericType) if c != target]
     binned = binned_values(df, names, target)
     quartiles = broadcast_if_small(
-        exact_quantiles(binned, target, {"q1": 0.25, "median": 0.5, "q3": 0.75}), keep=True)
+        exact_quantiles(binned, target, {"q1": 0.25, "median": 0.5, "q3": 0.75}))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     keys = ["column", target, "n", "q1", "median", "q3"]

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marea.functions.bounded import MAX_ROWS, broadcast_if_small, local_frame
+from marea.functions.bounded import broadcast_if_small
 from marea.functions.hashing import HASH_SPACE, seeded, seeded_number
 
 
@@ -19,32 +17,27 @@ def hash_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
     return sample if limit is None else sample.orderBy(number, id_col).limit(limit)
 
 
-def class_quotas(counts: dict, fraction: float) -> dict:
-    """Test rows per class: ceil(fraction * n) in all, shared out by largest remainder."""
-    total = sum(counts.values())
-    wanted = math.ceil(fraction * total)
-    exact = {c: n * wanted / total for c, n in counts.items()}
-    quota = {c: math.floor(x) for c, x in exact.items()}
-    by_rest = sorted(counts, key=lambda c: (quota[c] - exact[c], c))
-    for c in by_rest[:wanted - sum(quota.values())]:
-        quota[c] += 1
-    return quota
+def class_quotas(classes: DataFrame, fraction: float) -> DataFrame:
+    """(label, quota) from (label, rows): ceil(fraction * n) test rows in all, shared out by
+    largest remainder, ties by label. Only one row per class is ordered, never the rows."""
+    every = Window.partitionBy()
+    shared = classes.withColumn("total", F.sum("rows").over(every)) \
+        .withColumn("wanted", F.ceil(F.lit(float(fraction)) * F.col("total")).cast("long")) \
+        .withColumn("exact", F.col("rows") * F.col("wanted") / F.col("total")) \
+        .withColumn("quota", F.floor("exact").cast("long"))
+    nth = F.row_number().over(Window.orderBy(F.col("quota") - F.col("exact"), "label"))
+    left = F.col("wanted") - F.sum("quota").over(every)
+    return shared.select("label", (F.col("quota") + (nth <= left).cast("long")).alias("quota"))
 
 
-def _edges(bins: DataFrame, fraction: float, label_col: str) -> DataFrame:
+def _edges(bins: DataFrame, fraction: float) -> DataFrame:
     """Per class the hash prefix at the cut, and how many of its rows are still test rows."""
-    spark, label_type = bins.sparkSession, bins.schema["label"].dataType.simpleString()
-    classes = bins.groupBy("label").agg(F.sum("n").alias("n")).limit(MAX_ROWS + 1).collect()
-    if len(classes) > MAX_ROWS:
-        raise ValueError(f"{label_col} has more than {MAX_ROWS} values: not a class label")
-    quotas = class_quotas({row["label"]: row["n"] for row in classes}, fraction) if classes else {}
-    quota_rows = local_frame(spark, [{"label": c, "quota": q} for c, q in quotas.items() if q > 0],
-                             f"label {label_type}, quota long")
+    quotas = broadcast_if_small(class_quotas(bins.groupBy("label").agg(F.sum("n").alias("rows")), fraction))
     by_bin = Window.partitionBy("label").orderBy("bin")
-    edge = (bins.withColumn("end", F.sum("n").over(by_bin)).join(F.broadcast(quota_rows), "label")
+    edge = (bins.withColumn("end", F.sum("n").over(by_bin)).join(quotas, "label")
             .where("quota <= end and quota > end - n")
             .select("label", "bin", (F.col("quota") - F.col("end") + F.col("n")).alias("take")))
-    return broadcast_if_small(edge, keep=True)
+    return broadcast_if_small(edge)
 
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str, fraction: float = 0.2,
@@ -62,14 +55,14 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, fraction: float
     rows = rows.withColumn("bin", F.substring("hash", 1, hex_digits))
     bins = rows.groupBy("label", "bin").agg(F.count("*").alias("n")).persist()
     try:
-        edge = _edges(bins, fraction, label_col)
+        edge = _edges(bins, fraction)
     finally:
         bins.unpersist()
     by_hash = Window.partitionBy("label").orderBy("hash", "id")
     cut = (rows.join(edge, ["label", "bin"]).withColumn("nth", F.row_number().over(by_hash))
            .where("nth = take").select(F.col("label").alias("_label"), F.col("hash").alias("_hash"),
                                        F.col("id").alias("_id")))
-    cut = broadcast_if_small(cut, keep=True)
+    cut = broadcast_if_small(cut)
     own = F.md5(seeded(F.col(id_col), seed))
     first = (own < F.col("_hash")) | ((own == F.col("_hash")) & (F.col(id_col) <= F.col("_id")))
     return (df.where(F.col(label_col).isNotNull())

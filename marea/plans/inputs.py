@@ -104,4 +104,7 @@ def drifted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("cust_id"),
         F.when(F.col("c_custkey") % 20 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string"))
-        .alias("c_acctbal"), "c_nationkey", F.lit("2024-01").alias("delivery"))
+        .alias("c_acctbal"),
+        # Whole numbers as text: plain, with a fraction of zero, with an exponent, and not whole.
+        F.concat("c_nationkey", F.element_at(F.array(*map(F.lit, ("", ".0", "e2", ".7"))), (F.col("c_custkey") % 4 + 1).cast("int")))
+        .alias("c_nationkey"), F.lit("2024-01").alias("delivery"))

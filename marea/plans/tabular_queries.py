@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -93,6 +94,16 @@ def encode_features(spark, sf_dir):
     return encoded.withColumns({c: tidy(F.col(c), 4) for c in NUMERIC})
 
 
+def encode_sparse(spark, sf_dir):
+    """The same features through one sparse vector, spread over columns for the check."""
+    clean = churn_clean(spark, sf_dir)
+    encoder = prepare.fit_encoder(clean, ID, LABEL, CATEGORICAL, NUMERIC)
+    values = vector_to_array("features")
+    features = [tidy(values[n], 4).alias(c) if c in NUMERIC else values[n].alias(c)
+                for n, c in enumerate(encoder.feature_names)]
+    return prepare.sparse_features(encoder, clean).select(ID, *features, LABEL)
+
+
 def sanitize_columns(spark, sf_dir):
     """The name rules over every label that an encoder would turn into a column."""
     part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
@@ -258,11 +269,13 @@ def drift_report(spark, sf_dir):
 # --- sources and sinks ---
 
 def csv_roundtrip(spark, sf_dir):
-    """Documents, line breaks and all, to CSV and back with an explicit schema."""
-    documents = table(spark, sf_dir, "documents")
+    """Documents, line breaks and all, to CSV and back with an explicit schema; some
+    texts are empty or null on the way."""
+    documents = table(spark, sf_dir, "documents").withColumn(
+        "text", F.when(F.col("doc_id") % 10 == 1, "").when(F.col("doc_id") % 10 != 2, F.col("text")))
     path = scratch_path(spark, "documents-csv")
     write_csv(documents, path)
-    return read_csv(spark, path, documents.schema)
+    return read_csv(spark, path, documents.schema, multi_line=True)
 
 
 def layer_roundtrip(spark, sf_dir):
@@ -274,7 +287,7 @@ def layer_roundtrip(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     table_shape, profile_columns, duplicate_rows, class_balance, event_balance, category_by_target,
     numeric_by_target, boxplot_stats, coerce_numeric, impute_mean, target_encode, clean_data, standard_scale,
-    encode_features, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
+    encode_features, encode_sparse, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
     row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score,
     champion_run, latest_runs, run_algorithms, latest_version, tag_version, score_report, class_report,
     gold_report, schema_align, drift_report, csv_roundtrip, layer_roundtrip)}

@@ -6,7 +6,6 @@ from marea.functions.text import BLANKS, BOILERPLATE
 from marea.operators.chunking import (CHUNK_CHARS, CHUNK_JOINER, PARAGRAPH_CHARS, PREVIEW_CHARS,
                                       PREVIEW_CHUNKS)
 from marea.operators.embedding import DIMS
-from marea.operators.html import ENTITIES, MARKUP_RULES, SPACE_RULES
 from marea.operators.prompts import CONTEXT_JOINER, FALLBACK, SYSTEM_TEMPLATE
 from marea.plans.inputs import PARAGRAPH_BREAK, SCORE_DIGITS
 
@@ -86,11 +85,18 @@ def regex_chain(text: str, rules) -> str:
     return text
 
 
+# What the given pages hold, written down for the check alone: the elements and character
+# references that occur there, in the order in which SQL has to take them apart.
+_PAGE_RULES = (
+    ("(?s)<!--.*?-->", ""), ("(?s)<script>.*?</script>", ""), ("(?s)<style>.*?</style>", ""),
+    ("(?s)<nav>.*?(</nav>|$)", ""), ("<br>", "\n"),
+    ("</?(p|div|article|h1|li|ul|footer|title|head|body|html)( [^>]*)?>", "\n\n"),
+    ("<[^>]*>", ""), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"'), ("&amp;?", "&"),
+    ("[ \\t\\r]*\\n[ \\t\\r]*", "\n"), ("\\n\\n+", "\n\n"), ("^\\n+", ""), ("\\n+$", ""))
+
+
 def html_sql(html: str) -> str:
-    text = regex_chain(html, MARKUP_RULES)
-    for entity, char in ENTITIES:
-        text = f"replace({text}, {text_literal(entity)}, {text_literal(char)})"
-    return regex_chain(text, SPACE_RULES)
+    return regex_chain(html, _PAGE_RULES)
 
 
 LABEL_SCORES = """

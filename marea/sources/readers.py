@@ -15,14 +15,19 @@ def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") ->
     return spark.read.table(name_or_path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header; quoted cells may hold line breaks and doubled quotes.
+NULL_TEXT = "\\N"      # an unquoted cell of this text, or an empty unquoted one, is null
 
-    Without a schema every column stays text, as the bronze layer wants it;
-    inference would cost a second pass over the files.
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with a header; quoted cells may hold doubled quotes, and ``""`` is empty text.
+
+    Files are split among tasks. Cells with line breaks need ``multi_line``, which
+    reads each file in one task. Without a schema every column stays text, as the
+    bronze layer wants it; inference would cost a second pass over the files.
     """
-    reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("quote", '"').option("escape", '"'))
+    reader = (spark.read.option("header", True).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"').option("nullValue", NULL_TEXT).option("emptyValue", ""))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marea.session import materialized
+from marea.sources.readers import NULL_TEXT
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -48,8 +49,9 @@ def create_namespaces(spark: SparkSession, names: tuple[str, ...] = LAYERS) -> N
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; cells with line breaks or quotes are quoted, and blanks at
-    the ends of a cell stay."""
+    the ends of a cell stay. Nulls and empty texts are told apart."""
     (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+       .option("nullValue", NULL_TEXT).option("emptyValue", '""')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

@@ -148,7 +148,10 @@ def test_forest(spark, customers):
 
 
 def test_failed_run_is_logged(spark, customers):
-    model, run = models.train_and_log(models.logistic(), customers, customers, ["a", "none"], "y", "demo")
+    with pytest.raises(Exception, match="none"):
+        models.train_and_log(models.logistic(), customers, customers, ["a", "none"], "y", "demo")
+    model, run = models.train_and_log(models.logistic(), customers, customers, ["a", "none"], "y", "demo",
+                                      log_failure=True)
     row = run.first()
     assert model is None and row["status"] == "FAILED" and "none" in row["tags"]["error"]
 
@@ -177,11 +180,11 @@ def test_gold_report_keeps_every_row(spark):
 # --- sources and sinks ---
 
 def test_csv_with_line_breaks(spark, tmp_path):
-    rows = [(1, 'uno\n\ndos "tres", cuatro'), (2, "  blanks "), (3, None)]
+    rows = [(1, 'uno\n\ndos "tres", cuatro'), (2, "  blanks "), (3, None), (4, ""), (5, "\\ N"), (6, '""')]
     df = spark.createDataFrame(rows, "id long, text string")
     writers.write_csv(df, str(tmp_path / "csv"))
-    back = readers.read_csv(spark, str(tmp_path / "csv"), df.schema)
-    assert sorted(map(tuple, back.collect())) == rows
+    back = readers.read_csv(spark, str(tmp_path / "csv"), df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == rows
     assert readers.read_csv(spark, str(tmp_path / "csv")).dtypes == [("id", "string"), ("text", "string")]
 
 

@@ -102,13 +102,25 @@ def test_encoder(spark):
     assert encoder.transform(df.drop("y")).columns == ["id", "c_b", "c_nan", "n"]
 
 
-def test_too_many_categories_go_to_a_vector(spark, monkeypatch):
-    df = spark.createDataFrame([(f"k{i}", f"v{i}", float(i), 0) for i in range(9)], "id string, c string, n double, y int")
-    monkeypatch.setattr(prepare, "MAX_CATEGORIES", 5)
-    with pytest.raises(ValueError, match="sparse_encoder"):
-        prepare.fit_encoder(df, "id", "y", ["c"], ["n"])
-    vector = prepare.sparse_encoder(["c"], ["n"]).fit(df).transform(df).first()["features"]
-    assert vector.size >= 9
+def test_sparse_features_equal_the_dense_ones(spark):
+    rows = [(i, f"v{i % 7}" if i % 5 else None, "only", "two" if i % 2 else "one", float(i) if i % 4 else None, i % 2)
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, c string, one string, d string, n double, y int")
+    encoder = prepare.fit_encoder(prepare.impute_mean(df, ["n"]), "id", "y", ["c", "one", "d"], ["n"], {"n": 3.5})
+    later = df.unionByName(spark.createDataFrame([(99, "new", "other", None, float("nan"), 0)], df.schema))
+    dense = {r["id"]: list(r)[1:-1] for r in encoder.transform(later).collect()}
+    sparse = {r["id"]: r["features"].toArray().tolist() for r in prepare.sparse_features(encoder, later).collect()}
+    assert sparse == dense and len(encoder.feature_names) == len(sparse[0])
+    unseen = {(r["column"], r["value"], r["n"]) for r in prepare.unseen_categories(encoder, later).collect()}
+    assert unseen == {("c", "new", 1), ("one", "other", 1), ("d", None, 1)}
+
+
+def test_thousands_of_categories_fit_into_a_vector(spark):
+    df = spark.range(5000).selectExpr("id", "concat('v', lpad(id, 4, '0')) as c", "id % 2 as y")
+    encoder = prepare.fit_encoder(df, "id", "y", ["c"], [])
+    rows = prepare.sparse_features(encoder, df).where("id in (0, 1, 4999)").collect()
+    assert {r["id"]: r["features"].indices.tolist() for r in rows} == {0: [], 1: [0], 4999: [4998]}
+    assert rows[0]["features"].size == 4999
 
 
 def test_name_clashes_are_errors(spark):
@@ -124,8 +136,24 @@ def test_split_is_exact_and_stable(spark):
     assert parts[0] == parts[1] == parts[2] and len(parts[0]) == 1003
     tests = [y for _, y, part in parts[0] if part == "test"]
     assert len(tests) == 201 and sum(tests) == 20
-    assert split.class_quotas({0: 902, 1: 101}, 0.2) == {0: 181, 1: 20}
-    assert split.class_quotas({0: 1, 1: 1}, 0.2) == {0: 1, 1: 0}
+    def quotas(counts):
+        classes = spark.createDataFrame(list(counts.items()), "label int, rows long")
+        return {r["label"]: r["quota"] for r in split.class_quotas(classes, 0.2).collect()}
+
+    assert quotas({0: 902, 1: 101}) == {0: 181, 1: 20}
+    assert quotas({0: 1, 1: 1}) == {0: 1, 1: 0}
+
+
+def test_split_by_very_many_labels(spark):
+    rows = spark.range(300_000).selectExpr("id", "id % 150000 as y")
+    parts = split.stratified_split(rows, "id", "y", 0.5)
+    assert parts.where("part = 'test'").selectExpr("count(*)", "count(distinct y)").first()[:] == (150_000, 150_000)
+
+
+def test_blanks_of_any_length_are_counted(spark):
+    df = spark.createDataFrame([("x",), (" " * 10,), (" " * 70,), (None,)], "t string")
+    for exact in (True, False):
+        assert profile.profile_columns(df, exact).first()["blank_count"] == 2
 
 
 def test_split_without_rows(spark):
@@ -171,3 +199,20 @@ def test_auc_edge_cases(spark):
     assert tuple(ordered.auc_roc(tied, "y", "s").first()) == (1, 1, 0.5)
     assert ordered.auc_roc(tied.where("y = 1"), "y", "s").first()["auc"] is None
     assert tuple(ordered.auc_roc(tied.where("y = 9"), "y", "s").first()) == (0, 0, None)
+
+
+def test_small_sides_are_evaluated_once(spark):
+    from marea.functions.bounded import broadcast_if_small
+
+    for limit, hinted in ((2000, True), (10, False)):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(value):
+            seen.add(1)
+            return value
+
+        side = spark.range(1000).select(F.udf(count, "long")("id").alias("id"))
+        small = broadcast_if_small(side, max_rows=limit)
+        assert spark.range(10).join(small, "id").count() == 10 and small.count() == 1000
+        assert seen.value == 1000
+        assert ("Hint" in small._jdf.queryExecution().logical().toString()) == hinted

@@ -51,6 +51,11 @@ def test_compact_text_keeps_texts_apart(spark):
     ("<p>abierto<p>otro &nbsp; más", "abierto\n\notro   más"),
     ("<p>&iquest;Qu&eacute; a&ntilde;o?&hellip; &amp;lt;</p>", "¿Qué año?… &lt;"),
     ("", ""),
+    ("caf&#233; &#xE9; &euro; &middot; &NotEqualTilde; &nosuch; &amp &#0; AT&T", "caf\u00e9 \u00e9 \u20ac \u00b7 \u2242\u0338 &nosuch; & &#0; AT&T"),
+    ("&#128512; &amp;#233;", "\U0001f600 &#233;"),
+    ("<table><tr><td>uno</td><td>dos</td></tr><tr><th>a</th></tr></table>", "uno\n\ndos\n\na"),
+    ("<dl><dt>t</dt><dd>d</dd></dl><blockquote>q</blockquote>x", "t\n\nd\n\nq\n\nx"),
+    ("<p>a</p><script>leak()", "a"), ("<p>a</p><!-- open", "a"), ("x<br/>y<br class='c'>z", "x\ny\nz"),
 ])
 def test_html(spark, html, text):
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
