@@ -37,12 +37,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     text goes, and rows of one id with different texts are judged by that id."""
     groups = materialized(ngram_join.join(docs, SHINGLE_WORDS, SIMILARITY))
     leave = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(broadcast_if_small(leave, MAX_BROADCAST, keep=True), "doc_id", "left_anti").select(
+    kept = docs.join(broadcast_if_small(leave, MAX_BROADCAST), "doc_id", "left_anti").select(
         *[column(docs, n) for n in docs.columns])
     repeated = groups.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    repeated = broadcast_if_small(repeated, MAX_BROADCAST, keep=True)
+    repeated = broadcast_if_small(repeated, MAX_BROADCAST)
     number = fresh(docs.columns, "number")
     numbered = kept.join(repeated, "doc_id", "left_semi").withColumn(
         number, F.row_number().over(Window.partitionBy("doc_id", F.md5("text")).orderBy("doc_id")))

@@ -77,7 +77,7 @@ def weights_of(spark: SparkSession, templates: Mapping[str, Sequence[str]]) -> D
 def document_frequencies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(term, df) of the wanted terms: the files that hold each of them."""
     held = texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    counted = held.join(broadcast_if_small(wanted.select("term").distinct(), keep=True), "term").groupBy("term") \
+    counted = held.join(broadcast_if_small(wanted.select("term").distinct()), "term").groupBy("term") \
         .agg(F.count("*").alias("df"))
     return wanted.select("term").distinct().join(counted, "term", "left").select(
         "term", F.coalesce("df", F.lit(0)).alias("df"))
@@ -161,7 +161,7 @@ def scan(files: DataFrame, templates: Mapping[str, Sequence[str]] | None = None,
     directory = F.when(F.contains(F.col("path"), F.lit("/")), F.regexp_replace("path", "/[^/]*$", ""))
     rows = keyed.select("file_id", "path", "text_key", "named", directory.alias("directory"),
                         F.coalesce(F.regexp_count("text", F.lit(TERM)), F.lit(0)).alias("n_terms"))
-    owned = materialized(rows.join(broadcast_if_small(found, keep=True), "text_key", "left"))
+    owned = materialized(rows.join(broadcast_if_small(found), "text_key", "left"))
     declares = F.col("license").isNotNull() & F.col("directory").isNotNull() \
         & (F.col("named") | (F.col("notice_terms") >= HALF * F.col("n_terms")))
     declared = owned.where(declares).groupBy("directory").agg(
@@ -174,7 +174,7 @@ def scan(files: DataFrame, templates: Mapping[str, Sequence[str]] | None = None,
         .select("directory", F.explode(above).alias("step")) \
         .join(declared.withColumnRenamed("directory", "above"), F.col("step.above") == F.col("above")) \
         .groupBy("directory").agg(F.max(F.struct("step.depth", "above", "declared")).alias("nearest"))
-    nearest = broadcast_if_small(nearest, keep=True)
+    nearest = broadcast_if_small(nearest)
     return owned.join(nearest, "directory", "left").select(
         "file_id", "path", F.col("license").alias("own_license"), "score", "notice",
         F.coalesce("license", "nearest.declared").alias("license"),
