@@ -26,8 +26,9 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def churn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer with orders, shaped like a raw churn delivery: numbers as
-    text with blanks, categories with spaces and digits, a Yes/No label.
+    """One row per customer, shaped like a raw churn delivery: numbers as text with
+    blanks, categories with spaces and digits, a Yes/No label. A customer without orders
+    has spent nothing, has no usual priority, and counts as gone.
 
     Orders collapse per customer and priority before their shuffle, so a customer
     with a third of all orders costs a handful of rows.
@@ -41,15 +42,15 @@ def churn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("first").alias("first"), F.max("last").alias("last"),
         F.min(F.struct(-F.col("n"), "o_orderpriority"))["o_orderpriority"].alias("top_priority"))
     year_ago = orders.agg(F.max("o_orderdate") - F.expr("interval 365 days")).scalar()
-    return (table(spark, sf_dir, "customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
+    return (table(spark, sf_dir, "customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
             .select(F.col("c_custkey").alias("customer_id"),
                     (F.col("c_custkey") % 2).cast("int").alias("senior"),
-                    F.datediff("last", "first").cast("long").alias("tenure"),
-                    (F.col("spent").cast("double") / F.col("n")).alias("monthly_charges"),
-                    F.when(F.col("c_custkey") % 50 == 0, " ")
+                    F.coalesce(F.datediff("last", "first"), F.lit(0)).cast("long").alias("tenure"),
+                    F.coalesce(F.col("spent").cast("double") / F.col("n"), F.lit(0.0)).alias("monthly_charges"),
+                    F.when((F.col("c_custkey") % 50 == 0) | F.col("spent").isNull(), " ")
                     .otherwise(F.col("spent").cast("string")).alias("total_charges"),
                     F.col("c_mktsegment").alias("segment"), "top_priority",
-                    F.when(F.col("last") < year_ago, "Yes").otherwise("No").alias("churn")))
+                    F.when((F.col("last") < year_ago) | F.col("last").isNull(), "Yes").otherwise("No").alias("churn")))
 
 
 CATEGORICAL = ["segment", "top_priority", "senior"]

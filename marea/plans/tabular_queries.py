@@ -14,11 +14,12 @@ from marea.operators.ordered import auc_roc as auc_of
 from marea.plans.inputs import (CATEGORICAL, DRIFT_EXPECTED, NUMERIC, churn_clean, churn_raw, churn_scored,
                                 drifted_customers, event_runs, part_versions, table)
 from marea.session import materialized, scratch_path
-from marea.sources.readers import read_csv, read_table
-from marea.sources.writers import write_csv, write_layer
+from marea.sources.readers import local_rows, read_csv, read_table, read_whole_text
+from marea.sources.writers import write_csv, write_json, write_layer
 
 ID, LABEL = "customer_id", "churn"
 EXPERIMENT = "churn"
+SEGMENT_GROUPS = {"BUILDING": "trade", "MACHINERY": "trade", "HOUSEHOLD": "home", "FURNITURE": "home"}
 NEW_TAGS = {"model_framework": "spark.ml", "project_id": "123456"}
 
 
@@ -166,42 +167,62 @@ def training_rows(spark, sf_dir):
     return both.select(ID, "part", LABEL, "senior", *[tidy(F.col(c), 4).alias(c) for c in NUMERIC])
 
 
-def _train(spark, sf_dir, classifier):
-    train, test, encoder = _training(spark, sf_dir)
-    return models.train_and_log(classifier, train, test, encoder.feature_names, LABEL, EXPERIMENT)[1]
-
-
 def train_logistic(spark, sf_dir):
-    return _metric_rows(_train(spark, sf_dir, models.logistic()))
+    """One row: the rows and features of a fit, and the largest component of the gradient of
+    the penalised, weighted mean log loss at the fitted weights, which an optimum has at 0."""
+    train, _, encoder = _training(spark, sf_dir)
+    names, rows = encoder.feature_names, train.count()
+    model = models.fit(models.logistic(), train, names, LABEL)
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    weighted = metrics.with_class_weights(models.score(model, train), LABEL, "w")
+    pull = F.col("w") * (F.col("probability") - F.col(LABEL))
+    slopes = [F.abs(F.sum(pull * F.col(f"`{c}`")) / rows + F.lit(w / rows)) for c, w in zip(names, weights)]
+    steepest = F.greatest(*slopes, F.abs(F.sum(pull) / rows))
+    return weighted.agg(F.count("*").alias("n_rows"), F.lit(len(names)).alias("n_features"),
+                        tidy(steepest, 3).alias("steepest"))
 
 
 def train_forest(spark, sf_dir):
-    return _metric_rows(_train(spark, sf_dir, models.forest()))
-
-
-def _metric_rows(runs: DataFrame) -> DataFrame:
-    return runs.select("run_name", "status", F.explode("metrics").alias("metric", "value"))
+    """One row: the size of a fitted forest, whether its trees keep to the depth and have no
+    leaf of fewer training rows than asked for, and whether it ranks better than chance."""
+    train, test, encoder = _training(spark, sf_dir)
+    names = encoder.feature_names
+    model = models.fit(models.forest(), train, names, LABEL)
+    fitted = model.stages[-1]
+    auc = models.evaluate(models.score(model, test), LABEL)["auc"]
+    return train.agg(F.count("*").alias("n_rows")).select(
+        "n_rows", F.lit(len(names)).alias("n_features"), F.lit(fitted.getNumTrees).alias("n_trees"),
+        F.lit(max(t.depth for t in fitted.trees) <= 10).alias("depth_kept"),
+        F.lit(fitted.getMinInstancesPerNode() == 2).alias("leaves_kept"), F.lit(auc > 0.5).alias("beats_chance"))
 
 
 def run_log(spark, sf_dir):
-    """Both classifiers on one split: parameters, metrics and tags as rows."""
+    """Both classifiers on one split: parameters, metrics and tags as rows. A metric's value
+    depends on the fit, so it is only held to its range."""
     train, test, encoder = _training(spark, sf_dir)
     runs = None
     for classifier in (models.logistic(), models.forest()):
         row = models.train_and_log(classifier, train, test, encoder.feature_names, LABEL, EXPERIMENT)[1]
         runs = row if runs is None else runs.unionByName(row)
-    pairs = [F.transform(F.map_entries(F.col(c).cast("map<string,string>")), lambda e, kind=c: F.struct(
+    texts = runs.withColumn("metrics", F.transform_values("metrics", lambda name, value: F.when(
+        value.between(0, 1), "from 0 to 1").otherwise(value.cast("string"))))
+    listed = lambda kind: F.transform(F.map_entries(kind), lambda e: F.struct(
         F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("value")))
-        for c in ("params", "metrics", "tags")]
-    return runs.select("experiment", "run_name", "status", F.inline(F.concat(*pairs)))
+    pairs = [listed(kind) for kind in ("params", "metrics", "tags")]
+    return texts.select("experiment", "run_name", "status", F.inline(F.concat(*pairs)))
 
 
-def batch_score(spark, sf_dir):
-    """A logistic model and its encoder, saved and loaded again, over every customer."""
-    train, _, encoder = _training(spark, sf_dir)
-    features = train.select(*encoder.feature_names)
-    path = models.save_model(models.fit(models.logistic(), train, encoder.feature_names, LABEL), features,
-                             scratch_path(spark, "model"), encoder)
+def _consistent(report: DataFrame) -> DataFrame:
+    """Id and label of scored rows, and whether class, alert and probability agree."""
+    risky = F.col("probability") > 0.5
+    close = F.col("probability") == 0.5     # the class comes from the unrounded value
+    agree = (close | (F.col("prediction") == risky.cast("int"))) & F.col("probability").between(0, 1) \
+        & ((F.col("alert") == reports.ALERT_HIGH) == (F.col("prediction") == 1))
+    return report.select(ID, LABEL, agree.alias("consistent"))
+
+
+def _score_all(spark, sf_dir, path: str) -> DataFrame:
+    """Every customer through the model and encoder saved at ``path``."""
     model, signature = models.load_model(path)
     raw = prepare.coerce_numeric(prepare.as_category(churn_raw(spark, sf_dir), ["senior"]), ["total_charges"])
     rows = models.load_encoder(path).transform(prepare.target_encode(raw, LABEL))
@@ -210,6 +231,30 @@ def batch_score(spark, sf_dir):
     return reports.score_report(models.score(model, drift.align_schema(rows, expected)), ID, LABEL)
 
 
+def batch_score(spark, sf_dir):
+    """A logistic model and its encoder, saved and loaded again, over every customer."""
+    train, _, encoder = _training(spark, sf_dir)
+    features = train.select(*encoder.feature_names)
+    path = models.save_model(models.fit(models.logistic(), train, encoder.feature_names, LABEL), features,
+                             scratch_path(spark, "model"), encoder)
+    return _consistent(_score_all(spark, sf_dir, path))
+
+
+def model_chain(spark, sf_dir):
+    """Train and log with a saved model, choose the best run, register its model twice, find
+    the newest version by number, load it and score every customer."""
+    train, test, encoder = _training(spark, sf_dir)
+    root = scratch_path(spark, "models")
+    run = materialized(models.train_and_log(models.logistic(), train, test, encoder.feature_names, LABEL, EXPERIMENT,
+                                            root, encoder)[1])
+    versions = spark.createDataFrame([], registry.VERSION_SCHEMA)
+    for _ in range(2):
+        best = registry.find_champion(run, EXPERIMENT)["artifact_uri"]
+        versions = materialized(versions.unionByName(registry.register_version(versions, EXPERIMENT, best)))
+    newest = registry.find_version(versions, EXPERIMENT)
+    return _consistent(_score_all(spark, sf_dir, newest["artifact_uri"])).withColumn("version", F.lit(newest["version"]))
+
+
 # --- registry ---
 
 def champion_run(spark, sf_dir):
@@ -249,10 +294,12 @@ def class_report(spark, sf_dir):
 
 
 def gold_report(spark, sf_dir):
-    """Scores beside the readable columns of the customer's clean row."""
-    scored = churn_scored(spark, sf_dir)
-    report = reports.score_report(scored, ID, LABEL)
-    return reports.gold_report(report, scored, ID, LABEL,
+    """Scores beside the readable columns of the customer's row in a written clean table,
+    which lacks some customers and has a label of its own."""
+    clean = churn_clean(spark, sf_dir).where(F.col(ID) % 97 != 0)
+    path = write_layer(clean, scratch_path(spark, "layers"), "silver", "clean_data")
+    report = reports.score_report(churn_scored(spark, sf_dir), ID, LABEL)
+    return reports.gold_report(report, read_table(spark, path), ID, LABEL,
                                ["segment", "top_priority", "monthly_charges", "tenure"])
 
 
@@ -268,6 +315,29 @@ def drift_report(spark, sf_dir):
 
 # --- sources and sinks ---
 
+def whole_texts(spark, sf_dir):
+    """Every page as a file of its own, read back as one row per file."""
+    path = scratch_path(spark, "pages-text")
+    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    return read_whole_text(spark, path).select(F.col("page_id").cast("long").alias("page_id"), F.col("value").alias("text"))
+
+
+def segment_groups(spark, sf_dir):
+    """Customers by a grouping of their segments that the caller holds as local rows."""
+    groups = local_rows(spark, SEGMENT_GROUPS.items(), "segment string, grouping string")
+    customers = table(spark, sf_dir, "customer")
+    return customers.join(F.broadcast(groups), customers["c_mktsegment"] == groups["segment"], "left") \
+        .groupBy("grouping").agg(F.count("*").alias("n_customers"))
+
+
+def drift_report_json(spark, sf_dir):
+    """The drift report through a JSON file."""
+    report = drift.drift_report(drifted_customers(spark, sf_dir), DRIFT_EXPECTED)
+    path = scratch_path(spark, "drift-json")
+    write_json(report, path)
+    return drift.drift_rows(spark.read.schema(report.schema).json(path))
+
+
 def csv_roundtrip(spark, sf_dir):
     """Documents, line breaks and all, to CSV and back with an explicit schema; some
     texts are empty or null on the way."""
@@ -288,6 +358,7 @@ QUERIES = {f.__name__: f for f in (
     table_shape, profile_columns, duplicate_rows, class_balance, event_balance, category_by_target,
     numeric_by_target, boxplot_stats, coerce_numeric, impute_mean, target_encode, clean_data, standard_scale,
     encode_features, encode_sparse, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
-    row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score,
+    row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score, model_chain,
     champion_run, latest_runs, run_algorithms, latest_version, tag_version, score_report, class_report,
-    gold_report, schema_align, drift_report, csv_roundtrip, layer_roundtrip)}
+    gold_report, schema_align, drift_report, csv_roundtrip, layer_roundtrip,
+    whole_texts, segment_groups, drift_report_json)}
