@@ -9,10 +9,15 @@ hash collisions (a few for each 10^10 sets):
   rarest first. Linked sets share a shingle in the prefix of that order, so each
   set is listed under the shingles of its prefix, by size and then position;
 * within a list, a pair is a candidate only if its sizes and the positions of the
-  shingle leave room for the overlap needed. Lists are read in blocks of partners at
-  a growing distance; pairs whose answer follows from answers already found, since
-  their sets are in one component by now, are skipped. That goes on until no list
-  holds a pair of two components that was not compared.
+  shingle leave room for the overlap needed, and if the parities of the two sets
+  allow it: each set keeps 256 bits, one for the parity of the members in each of 256
+  classes, and two sets differ in at least as many members as in bits;
+* a candidate is compared by the prefixes first: beyond the shingles that both prefixes
+  hold, the sets can only share what follows the prefix of one of them;
+* lists are read in blocks of partners at a growing distance, and pairs whose answer
+  follows from answers already found, since their sets are in one component by now,
+  are skipped. That goes on until no list holds a pair of two components that was
+  not considered.
 
 So a group of near copies costs a few comparisons per set instead of one per pair.
 
@@ -31,13 +36,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marea.functions.bounded import broadcast_if_small
 from marea.llm.common import column, documents
 from marea.llm.components import components
 from marea.session import materialized
 
 SKETCH_BITS = 20        # buckets of the corpus-wide shingle counts: a fixed 4 MB
-FIRST_BLOCK, BLOCK_GROWTH = 4, 8
+PARITY_BITS = 256
+FIRST_BLOCK, BLOCK_GROWTH = 8, 64
 CACHED_WORDS = 200_000
 FAN_IN = 16
 MAX_BROADCAST = 500_000
@@ -79,13 +84,18 @@ def set_key(members: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(members.tobytes())).astype(np.int64))
 
 
+def parities(sets: list[np.ndarray]) -> list[bytes]:
+    return [np.packbits(np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1)
+            .tobytes() for s in sets]
+
+
 def describe_sets(words: int):
-    """Task function: id and text to id, set size and set key, and one last row with the
-    task's counts of shingle buckets."""
+    """Task function: id and text to id, set size, set key and parities, and one last row
+    with the task's counts of shingle buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
-        kind = None
+        kind, names = None, ["doc_id", "n_shingles", "set_key", "parity", "counts"]
         for batch in batches:
             kind = batch.schema.field(0).type
             for rows in (batch.slice(n, 2000) for n in range(0, batch.num_rows, 2000)):
@@ -94,11 +104,11 @@ def describe_sets(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
-                     pa.nulls(len(sets), pa.binary())], names=["doc_id", "n_shingles", "set_key", "counts"])
+                     pa.array(parities(sets), pa.binary()), pa.nulls(len(sets), pa.binary())], names=names)
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.array([counts.tobytes()], pa.binary())], names=["doc_id", "n_shingles", "set_key", "counts"])
+                [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                 pa.array([counts.tobytes()], pa.binary())], names=names)
 
     return run
 
@@ -131,9 +141,9 @@ def prefix_size(size: int, threshold: int) -> int:
     return size + (-threshold * size) // 100 + 1
 
 
-def list_prefixes(words: int, threshold: int, ranks: np.ndarray):
-    """Task function: texts to (token, set_key, size, position) for the prefixes of their
-    sets, once for each set of the task."""
+def prefixes(words: int, threshold: int, ranks: np.ndarray):
+    """Task function: texts to (set_key, size, prefix) with the prefix in order, once for
+    each set of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, done = WordHashes(), set()
@@ -150,17 +160,19 @@ def list_prefixes(words: int, threshold: int, ranks: np.ndarray):
                     tokens.append(members[order[:prefix_size(len(members), threshold)]])
                     keys.append(key)
                     sizes.append(len(members))
-                lengths = np.array([len(t) for t in tokens], np.int64)
-                flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-                position = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat.view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), lengths)),
-                     pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(position.astype(np.int32))],
-                    names=["token", "set_key", "size", "position"])
+                    [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), as_lists(tokens)],
+                    names=["set_key", "size", "prefix"])
 
     return run
 
 
+def as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    flat = np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(ends, pa.array(flat))
+
+
 def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function over sorted entries: one of each set in a list, without lists of one
     set. It looks one batch ahead at most, however long a list is."""
@@ -203,8 +215,10 @@ def candidate_pairs(threshold: int, first: int, last: int):
         for batch in batches:
             new = [batch.column(n).to_numpy().astype(np.int64) for n in
                    ("token", "set_key", "size", "position", "component")]
+            bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64)
+            new.append(bits.reshape(batch.num_rows, PARITY_BITS // 64))
             begin = 0 if kept is None else len(kept[0])
-            token, key, size, position, component = rows = new if kept is None else \
+            token, key, size, position, component, parity = rows = new if kept is None else \
                 [np.concatenate(both) for both in zip(kept, new)]
             lower, upper = [], []
             for distance in range(first, min(last, len(token) - 1) + 1):
@@ -217,6 +231,9 @@ def candidate_pairs(threshold: int, first: int, last: int):
                 fits = 100 * size[x] >= threshold * size[y]
                 overlap = np.minimum(size[x] - position[x], size[y] - position[y])
                 fits &= (100 + threshold) * overlap >= threshold * (size[x] + size[y])
+                x, y = x[fits], y[fits]
+                differ = np.bitwise_count(parity[x] ^ parity[y]).sum(1).astype(np.int64)
+                fits = (100 + threshold) * differ <= (100 - threshold) * (size[x] + size[y])
                 lower.append(np.minimum(key[x[fits]], key[y[fits]]))
                 upper.append(np.maximum(key[x[fits]], key[y[fits]]))
             y = np.arange(max(last + 1, begin), len(token))
@@ -239,70 +256,75 @@ def wanted_sets(words: int):
         for batch in batches:
             for rows in (batch.slice(n, 2000) for n in range(0, batch.num_rows, 2000)):
                 sets = [s for s in (shingles(t, words, hashes) for t in rows.column(0).to_pylist()) if len(s)]
-                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat))],
-                    names=["set_key", "members"])
+                    [pa.array([set_key(s) for s in sets], pa.int64()), as_lists(sets)], names=["set_key", "members"])
 
     return run
 
 
-def compared(pairs: DataFrame, texts: DataFrame, described: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Written table of the pairs with ``linked``: whether their whole sets are similar enough."""
-    keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
-    holders = described.where(F.col("doc_id").isNotNull()).join(keys, "set_key") \
-        .groupBy("set_key").agg(F.min("doc_id").alias("holder"))
-    chosen = broadcast_if_small(holders, MAX_BROADCAST, keep=True)
-    sets = texts.join(chosen.select("holder").distinct(), F.col("doc_id") == F.col("holder"), "left_semi") \
-        .select("text").mapInArrow(wanted_sets(words), "set_key long, members array<bigint>") \
-        .join(holders.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"])
+def hinted(df: DataFrame, rows: int) -> DataFrame:
+    """A written table of small rows, to be broadcast if their number allows."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST else df
+
+
+def compared(pairs: DataFrame, heads: DataFrame, holders: DataFrame, texts: DataFrame, words: int,
+             threshold: int) -> DataFrame:
+    """Written table of those pairs (a, b) whose whole sets are similar enough."""
+    count = pairs.count()
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("set_key"))
+    involved = materialized(heads.join(hinted(keys, 2 * count), "set_key", "left_semi").dropDuplicates(["set_key"]))
+    one = involved.select(F.col("set_key").alias("a"), F.col("size").alias("n_a"), F.col("prefix").alias("of_a"))
+    other = involved.select(F.col("set_key").alias("b"), F.col("size").alias("n_b"), F.col("prefix").alias("of_b"))
+    both = one.join(hinted(pairs, count), "a").join(other, "b")
+    after = F.greatest(F.col("n_a") - F.size("of_a"), F.col("n_b") - F.size("of_b"))
+    most = F.size(F.array_intersect("of_a", "of_b")) + after
+    likely = materialized(both.where((100 + threshold) * most >= threshold * (F.col("n_a") + F.col("n_b"))).select("a", "b"))
+    count = likely.count()
+    keys = likely.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
+    wanted = materialized(holders.join(hinted(keys, 2 * count), "set_key").select("set_key", "holder"))
+    sets = texts.join(hinted(wanted.select("holder").distinct(), 2 * count), F.col("doc_id") == F.col("holder"), "left_semi") \
+        .select("text").mapInArrow(wanted_sets(words), "set_key long, members array<bigint>")
     sets = materialized(sets)
     one = sets.select(F.col("set_key").alias("a"), F.col("members").alias("of_a"))
     other = sets.select(F.col("set_key").alias("b"), F.col("members").alias("of_b"))
-    both = pairs.join(one, "a").join(other, "b")
+    both = one.join(hinted(likely, count), "a").join(other, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    return materialized(both.select("a", "b", (100 * common >= threshold * union).alias("linked")))
+    return materialized(both.where(100 * common >= threshold * union).select("a", "b"))
 
 
 def join(docs: DataFrame, words: int = 3, threshold: int = 90, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, set_key, component_id`` for every row of ``docs``."""
-    spark = docs.sparkSession
     texts = docs.select(column(docs, id_col).cast("long").alias("doc_id"), column(docs, text_col).alias("text"))
     described = materialized(texts.mapInArrow(
-        describe_sets(words), "doc_id long, n_shingles long, set_key long, counts binary"))
+        describe_sets(words), "doc_id long, n_shingles long, set_key long, parity binary, counts binary"))
     rows = described.where(F.col("counts").isNull()).select("doc_id", "n_shingles", "set_key")
-    named = texts.where(F.col("doc_id").isNotNull()).select("text")
-    entries = named.mapInArrow(list_prefixes(words, threshold, frequency_ranks(described)),
-                               "token long, set_key long, size int, position int")
+    holders = materialized(described.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+                           .groupBy("set_key").agg(F.min("doc_id").alias("holder"), F.any_value("parity").alias("parity")))
+    heads = materialized(texts.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(
+        prefixes(words, threshold, frequency_ranks(described)), "set_key long, size int, prefix array<bigint>"))
+    entries = heads.select("set_key", "size", F.posexplode("prefix").alias("position", "token")) \
+        .select("token", "set_key", "size", "position")
     order = ["token", "size", "position", "set_key"]
-    lists = materialized(entries.repartition("token").sortWithinPartitions(*order)
-                         .mapInArrow(shared_entries, entries.schema))
-    active, links, seen = lists.withColumn("component", F.col("set_key")), None, None
+    shared = entries.repartition("token").sortWithinPartitions(*order).mapInArrow(shared_entries, entries.schema)
+    lists = materialized(shared.join(holders.select("set_key", "parity"), "set_key").select(*entries.columns, "parity"))
+    active, links = lists.withColumn("component", F.col("set_key")), None
     first, last = 1, FIRST_BLOCK
     while True:
         found = materialized(active.repartition("token").sortWithinPartitions(*order)
                              .mapInArrow(candidate_pairs(threshold, first, last), "a long, b long"))
-        pairs = found.where(F.col("a").isNotNull()).distinct()
-        pairs = materialized(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
-        answers = compared(pairs, texts, rows, words, threshold)
-        now = answers.where("linked").select("a", "b")
+        pairs = materialized(found.where(F.col("a").isNotNull()).distinct())
+        now = compared(pairs, heads, holders, texts, words, threshold)
         links = now if links is None else links.unionByName(now)
-        seen = answers.select("a", "b") if seen is None else seen.unionByName(answers.select("a", "b"))
         groups = materialized(components(links))
-        beyond = found.where(F.col("a").isNull()).select(F.col("b").alias("token")).distinct()
-        if beyond.isEmpty():
+        beyond = materialized(found.where(F.col("a").isNull()).select(F.col("b").alias("token")).distinct())
+        open_lists = beyond.count()
+        if not open_lists:
             break
-        labelled = lists.join(beyond, "token", "left_semi") \
-            .join(groups, F.col("set_key") == F.col("node"), "left") \
+        active = lists.join(hinted(beyond, open_lists), "token", "left_semi") \
+            .join(hinted(groups, groups.count()), F.col("set_key") == F.col("node"), "left") \
             .withColumn("component", F.coalesce("component", "set_key")).drop("node")
-        mixed_lists = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
-            .where("low < high").select("token")
-        active = materialized(labelled.join(mixed_lists, "token", "left_semi"))
-        if active.isEmpty():
-            break
         first, last = last + 1, last * BLOCK_GROWTH
     labelled = rows.join(groups, F.col("set_key") == F.col("node"), "left") \
         .withColumn("group", F.coalesce("component", "set_key"))
