@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _local_dirs: dict[str, str] = {}    # application -> its folder, in local mode only
+_scratch: dict[str, list[str]] = {}     # application -> the scratch paths it was given
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g",
@@ -50,7 +51,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """Where the list of this application's scratch tables ends now."""
+    return len(_scratch.get(spark.sparkContext.applicationId, ()))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Remove the scratch tables written since a mark, but those in ``keep``. Only for
+    tables that no frame in use reads any more: when a job's result has been written."""
+    paths = _scratch.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for text in [p for p in paths[since:] if p not in keep]:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+        paths.remove(text)
 
 
 def materialized(df: DataFrame) -> DataFrame:

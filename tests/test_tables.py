@@ -216,3 +216,15 @@ def test_small_sides_are_evaluated_once(spark):
         assert spark.range(10).join(small, "id").count() == 10 and small.count() == 1000
         assert seen.value == 1000
         assert ("Hint" in small._jdf.queryExecution().logical().toString()) == hinted
+
+
+def test_scratch_tables_can_be_removed(spark):
+    from marea.session import clear_scratch, materialized, scratch_mark
+
+    mark = scratch_mark(spark)
+    first, second = materialized(spark.range(3)), materialized(spark.range(4))
+    kept = second.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    clear_scratch(spark, mark, keep=(kept, f"file://{kept}"))
+    assert second.count() == 4 and scratch_mark(spark) == mark + 1
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        first.collect()
