@@ -17,6 +17,13 @@ def hash_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
     return sample if limit is None else sample.orderBy(number, id_col).limit(limit)
 
 
+def random_sample(df: DataFrame, fraction: float, seed: int = 42, limit: int | None = None) -> DataFrame:
+    """Spark's own sample, then a limit: no id is needed, but which rows it takes depends on
+    the partitions. ``hash_sample`` takes the same rows everywhere."""
+    sample = df.sample(fraction=fraction, seed=seed)
+    return sample if limit is None else sample.limit(limit)
+
+
 def class_quotas(classes: DataFrame, fraction: float) -> DataFrame:
     """(label, quota) from (label, rows): ceil(fraction * n) test rows in all, shared out by
     largest remainder, ties by label. Only one row per class is ordered, never the rows."""

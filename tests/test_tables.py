@@ -228,3 +228,10 @@ def test_scratch_tables_can_be_removed(spark):
     assert second.count() == 4 and scratch_mark(spark) == mark + 1
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
         first.collect()
+
+
+def test_random_sample(spark):
+    df = spark.range(10_000)
+    rows = split.random_sample(df, 0.1)
+    assert 800 < rows.count() < 1200 and rows.collect() == split.random_sample(df, 0.1).collect()
+    assert split.random_sample(df, 0.1, limit=10).count() == 10
