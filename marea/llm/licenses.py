@@ -188,3 +188,56 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt")))
     scanned = scan(docs.select("doc_id", path.alias("path"), "text"), id_col="doc_id")
     return scanned.withColumnRenamed("file_id", "doc_id")
+
+
+def _check_sql() -> str:
+    """The scan of the documents with every line compared to every template."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    templates = ", ".join(f"({quoted(f'{name} {n}')}, {quoted(name)}, {quoted(text)})"
+                          for name, texts in TEMPLATES.items() for n, text in enumerate(texts))
+    terms_of = lambda text: f"regexp_extract_all(lower({text}), '{TERM}')"
+    return rf"""
+with templates(template, license, notice) as (values {templates}),
+files as (
+  select doc_id, text, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') as directory,
+         coalesce(doc_id::varchar, 'none') || '.txt' as name, row_number() over () as file from documents),
+held as (select distinct file, unnest({terms_of('text')}) as term from files),
+frequency as (select term, count(*) as df from held group by term),
+total as (select count(*) as n from files),
+lines as (select file, unnest(list_distinct(string_split(text, chr(10)))) as notice from files),
+counted as (
+  select file, notice, term, count(*) as tf
+  from (select file, notice, unnest({terms_of('notice')}) as term from lines) group by all),
+model as (
+  select template, license, term, count(*) as tf
+  from (select template, license, unnest({terms_of('notice')}) as term from templates) group by all),
+idf as (
+  select term, ln((1.0::double + n) / (1.0::double + coalesce(df, 0))) + 1.0::double as idf
+  from (select term from counted union select term from model) left join frequency using (term), total),
+weights as (select file, notice, term, tf, tf * idf as weight from counted join idf using (term)),
+model_weights as (select template, license, term, tf * idf as weight from model join idf using (term)),
+sizes as (select file, notice, sqrt(sum(weight * weight)) as size, sum(tf) as terms from weights group by all),
+model_sizes as (select template, sqrt(sum(weight * weight)) as size from model_weights group by all),
+dots as (
+  select w.file, w.notice, m.template, m.license, sum(w.weight * m.weight) as dot
+  from weights w join model_weights m using (term) group by all),
+scored as (
+  select file, notice, license, terms, round(dot / (s.size * t.size), 9) as score
+  from dots join sizes s using (file, notice) join model_sizes t using (template)),
+best as (
+  select * from scored where score >= {MIN_COSINE}
+  qualify row_number() over (partition by file order by score desc, license, notice) = 1),
+owned as (
+  select files.*, license, score, notice,
+         coalesce(terms >= {HALF} * len({terms_of('text')}), false) as whole from files left join best using (file)),
+declared as (
+  select directory, license as declared from owned where license is not null and whole
+  qualify row_number() over (partition by directory order by score desc, license) = 1)
+select doc_id, directory || '/' || name as path, license as own_license, score, notice,
+       coalesce(license, declared) as license,
+       case when license is null and declared is not null then directory end as inherited_from
+from owned left join declared using (directory)
+"""
+
+
+OP9_SQL = _check_sql()

@@ -269,3 +269,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
 
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+# All pairs of a label; the forest finds every link where a label fits into one leaf.
+OP1_SQL = """
+with recursive usable as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and list_dot_product(embedding::double[], embedding::double[]) > 0),
+links as (
+  select a.vec_id as x, b.vec_id as y from usable a join usable b
+    on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_dot_product(a.v, b.v)
+        >= 0.93::double * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))),
+reach as (
+  select vec_id as start, vec_id as here from embeddings
+  union select start, y from reach join links on here = x),
+groups as (select start, min(here) as component_id from reach group by start),
+counts as (select x, count(*) as n from links group by x)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, component_id = vec_id as kept
+from embeddings join groups on vec_id = start left join counts on vec_id = x
+"""

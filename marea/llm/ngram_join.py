@@ -337,3 +337,29 @@ def join(docs: DataFrame, words: int = 3, threshold: int = 90, id_col: str = "do
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+# All pairs that share a shingle, counted in full.
+OP10_SQL = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, unnest(case when len(w) >= 3
+    then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as shingle from texts),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from sets a join sets b
+    on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+near as (
+  select x, y from common join sizes p on x = p.doc_id join sizes q on y = q.doc_id
+  where 100 * c >= 90 * (p.n + q.n - c)),
+links as (select x, y from near union all select y, x from near),
+reach as (
+  select doc_id as start, doc_id as here from documents
+  union select start, y from reach join links on here = x)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, min(here) as component_id
+from documents d join reach on d.doc_id = start left join sizes s on s.doc_id = d.doc_id
+group by d.doc_id, n
+"""

@@ -21,4 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
-CHECKS: dict[str, str] = {"op2_mixing": mixing.OP2_SQL}
+CHECKS: dict[str, str] = {
+    "op1_near_dup": near_dup.OP1_SQL,
+    "op2_mixing": mixing.OP2_SQL,
+    "op9_licenses": licenses.OP9_SQL,
+    "op10_ngram_join": ngram_join.OP10_SQL,
+}
