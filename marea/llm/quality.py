@@ -2,9 +2,10 @@
 
 Each whole text becomes a few transformed statistics. Per class, their mean and
 covariance are summed over all training rows; the covariance is shrunk towards the
-pooled one and towards its diagonal, and its Cholesky factor is kept. A score is the
-logistic of the difference of the two log densities (Mahalanobis distances and log
-determinants) plus the log odds of the classes.
+pooled one and towards its diagonal, and its Cholesky factor is kept. The two log
+densities (Mahalanobis distances and log determinants) give a difference, which a
+logistic fit over the training rows turns into a score: statistics depend on each other
+and have long tails, so the plain difference is far too sure and not centred.
 
 Defined cases: a null text counts as empty; all statistics of an empty text are 0, so
 it has a score like any other; null labels are ignored, and a document labelled more
@@ -15,19 +16,18 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marea.llm.common import column, documents, fresh, held_out
 from marea.session import materialized
 
 POOLED, DIAGONAL = 0.1, 0.05    # shrinkage towards the pooled covariance, and its diagonal
-TEMPERATURE = 0.25              # statistics are dependent, so raw density ratios are far too sure
 
 # --- Fixed values -----------------------------------------------------------
 STATISTICS = ("log_words", "word_length", "upper_share", "symbol_share", "mark_share", "digit_share",
@@ -91,12 +91,13 @@ def with_statistics(docs: DataFrame, out: str, text_col: str = "text", drop_text
 
 @dataclass
 class QualityModel:
-    """Per class its mean, Cholesky factor and log determinant; ``odds`` is log P(1) - log P(0)."""
+    """Per class its mean and Cholesky factor. A score is the logistic of ``odds`` and
+    ``slope`` times the squashed difference of the log densities."""
 
     odds: float
     means: list[np.ndarray]
     factors: list[np.ndarray]
-    temperature: float = TEMPERATURE
+    slope: float = 1.0
 
     def log_ratio(self, x: np.ndarray) -> np.ndarray:
         """Log density of class 1 less that of class 0, for every row of ``x``."""
@@ -106,13 +107,18 @@ class QualityModel:
             densities.append(-0.5 * (white * white).sum(0) - np.log(np.diag(factor)).sum())
         return densities[1] - densities[0]
 
+    def evidence(self, values: pd.Series) -> np.ndarray:
+        """The difference of the log densities on a logarithmic scale to both sides of 0."""
+        ratio = self.log_ratio(np.vstack(values.to_numpy()))
+        return np.sign(ratio) * np.log1p(np.abs(ratio))
+
     def score(self, df: DataFrame, stats: str, out: str = "score") -> DataFrame:
         model = self
 
         def run(values: pd.Series) -> pd.Series:
             if not model.means or not len(values):
                 return pd.Series(np.full(len(values), 1 / (1 + np.exp(-model.odds))))
-            z = model.temperature * model.log_ratio(np.vstack(values.to_numpy())) + model.odds
+            z = model.slope * model.evidence(values) + model.odds
             return pd.Series(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
         return df.withColumn(out, F.pandas_udf(run, "double")(column(df, stats)))
@@ -151,7 +157,19 @@ def fit(rows: DataFrame, stats: str, label: str, pooled: float = POOLED,
         mixed = (1 - pooled) * covariance + pooled * both
         mixed = (1 - diagonal) * mixed + diagonal * np.diag(np.diag(mixed))
         factors.append(np.linalg.cholesky(mixed + 1e-4 * np.eye(size)))
-    return QualityModel(odds, means, factors)
+    return calibrated(QualityModel(odds, means, factors), rows, stats, label)
+
+
+def calibrated(model: QualityModel, rows: DataFrame, stats: str, label: str) -> QualityModel:
+    """The model with slope and odds fitted to the training rows."""
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series(model.evidence(values) if len(values) else np.zeros(0))
+
+    evidence = F.pandas_udf(run, "double")(column(rows, stats))
+    points = materialized(rows.select(array_to_vector(F.array(evidence)).alias("features"),
+                                      column(rows, label).cast("double").alias("label")))
+    fitted = LogisticRegression(regParam=1e-4, standardization=False).fit(points)
+    return replace(model, slope=float(fitted.coefficients[0]), odds=float(fitted.intercept))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +178,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet") \
         .where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    model = fit(stats.join(labels, "doc_id"), "stats", "quality")
+    model = fit(materialized(stats.join(labels, "doc_id").select("stats", "quality")), "stats", "quality")
     scored = model.score(stats, "stats")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
