@@ -35,6 +35,7 @@ THRESHOLD = 0.93
 LEAF = 1024
 SPILL = 0.05            # share of a node's rows on each side of the median that go both ways
 SAMPLE = 100_000
+SAMPLE_BYTES = 64 * 1024 * 1024
 MIN_TREES = 8
 STAY, MISS = 0.92, 0.01     # a close pair stays together per level at least so often; pairs missed at most
 
@@ -57,18 +58,27 @@ def read_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function: (vec_id, embedding, label) to (vec_id, set_key, root, unit), the last
     three null for vectors that link with nothing."""
     for batch in batches:
-        keys, roots, units = [], [], []
-        for vec_id, vector, label in zip(*(c.to_pylist() for c in batch.columns)):
-            v = np.array([np.nan if x is None else x for x in vector or ()], np.float64)
-            if vec_id is None or label is None or not len(v) or not np.isfinite(v).all() or not v.any():
-                keys.append(None), roots.append(None), units.append(None)
-                continue
-            v = v / np.abs(v).max()         # neither overflow nor underflow in the norm
-            roots.append(name_of("root", label, len(v)))
-            keys.append(name_of(roots[-1], v.tobytes().hex()))
-            units.append((v / np.linalg.norm(v)).tobytes())
+        vec_ids, lists, labels = batch.columns
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)    # a null becomes NaN
+        widths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        starts = np.cumsum(widths) - widths
+        known = (vec_ids.is_valid().to_numpy(zero_copy_only=False) & labels.is_valid().to_numpy(zero_copy_only=False)
+                 & (widths > 0))
+        names, found = labels.to_pylist(), [(None, None, None)] * batch.num_rows
+        for width in np.unique(widths[known]):
+            rows = np.flatnonzero(known & (widths == width))
+            vectors = flat[starts[rows, None] + np.arange(width)]
+            good = np.isfinite(vectors).all(1) & vectors.any(1)
+            rows, vectors = rows[good], vectors[good]
+            vectors = vectors / np.abs(vectors).max(1, keepdims=True)   # neither overflow nor underflow in the norm
+            units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            for row, vector, unit in zip(rows, vectors, units):
+                root = name_of("root", names[row], width)
+                key = signed(xxhash.xxh64_intdigest(vector.tobytes(), seed=root % (1 << 64)))
+                found[row] = (key, root, unit.tobytes())
+        keys, roots, blobs = zip(*found) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(keys, pa.int64()), pa.array(roots, pa.int64()), pa.array(units, pa.binary())],
+            [vec_ids, pa.array(keys, pa.int64()), pa.array(roots, pa.int64()), pa.array(blobs, pa.binary())],
             names=["vec_id", "node", "root", "unit"])
 
 
@@ -169,9 +179,11 @@ def assign(forest: dict[int, list[Tree]]):
 
 def fit_round(nodes: DataFrame, large: DataFrame, trees: int | None, leaf: int, spill: float,
               sample: int) -> dict[int, list[Tree]]:
-    """Trees for the leaves in ``large`` (leaf, rows), from at most about ``sample`` rows."""
+    """Trees for the leaves in ``large`` (leaf, rows), from at most about ``sample`` rows, and
+    fewer of them where vectors are so long that they would take more than SAMPLE_BYTES."""
     total = large.agg(F.sum("rows").alias("n")).first()["n"]
-    share = min(1.0, sample / total)
+    width = nodes.agg(F.max(F.octet_length("unit")).alias("width")).first()["width"]
+    share = min(1.0, min(sample, SAMPLE_BYTES // width) / total)
     rows = nodes.select("node", "unit", F.explode("leaves").alias("leaf")) \
         .where(hash_key(F.col("node"), 1) < int(share * (1 << KEY_BITS))).join(large, "leaf")
     picked: dict[int, list[np.ndarray]] = {}
