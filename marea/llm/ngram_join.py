@@ -309,14 +309,15 @@ def join(docs: DataFrame, words: int = 3, threshold: int = 90, id_col: str = "do
     order = ["token", "size", "position", "set_key"]
     shared = entries.repartition("token").sortWithinPartitions(*order).mapInArrow(shared_entries, entries.schema)
     lists = materialized(shared.join(holders.select("set_key", "parity"), "set_key").select(*entries.columns, "parity"))
-    active, links = lists.withColumn("component", F.col("set_key")), None
+    active, groups = lists.withColumn("component", F.col("set_key")), None
     first, last = 1, FIRST_BLOCK
     while True:
         found = materialized(active.repartition("token").sortWithinPartitions(*order)
                              .mapInArrow(candidate_pairs(threshold, first, last), "a long, b long"))
         pairs = materialized(found.where(F.col("a").isNotNull()).distinct())
-        now = compared(pairs, heads, holders, texts, words, threshold)
-        links = now if links is None else links.unionByName(now)
+        links = compared(pairs, heads, holders, texts, words, threshold)
+        if groups is not None:      # one link per set stands for all found before
+            links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
         groups = materialized(components(links))
         beyond = materialized(found.where(F.col("a").isNull()).select(F.col("b").alias("token")).distinct())
         open_lists = beyond.count()
