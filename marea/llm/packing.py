@@ -26,6 +26,7 @@ from marea.session import scratch_path
 
 SEQUENCE = 1024
 END_ID = 0
+BLOCK = 128             # documents whose ids a task holds at a time
 PIECES = ("part int, rank_in_part long, doc_id {id_type}, start long, length int, doc_tokens long, "
           "ids binary")
 
@@ -50,9 +51,15 @@ def encoder(definition: str) -> Callable[[str], Sequence[int]]:
     ``tiktoken`` at four times the speed; texts that hold an added token, and all other
     vocabularies, go through ``tokenizers`` itself.
     """
-    from tokenizers import Tokenizer
+    loaded = []
+
+    def exact(text: str) -> Sequence[int]:
+        if not loaded:      # rarely needed beside the fast one, and large
+            from tokenizers import Tokenizer
+
+            loaded.append(Tokenizer.from_str(definition))
+        return loaded[0].encode(text, add_special_tokens=False).ids
 
-    exact = Tokenizer.from_str(definition)
     spec = json.loads(definition)
     model, before = spec["model"], spec.get("pre_tokenizer") or {}
     added = [t["content"] for t in spec.get("added_tokens", ())]
@@ -64,7 +71,7 @@ def encoder(definition: str) -> Callable[[str], Sequence[int]]:
         merged = ("".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"])
         plain = all(model["vocab"].get(token) == 256 + n for n, token in enumerate(merged))
     if not plain:
-        return lambda text: exact.encode(text, add_special_tokens=False).ids
+        return exact
 
     import tiktoken
 
@@ -73,7 +80,7 @@ def encoder(definition: str) -> Callable[[str], Sequence[int]]:
 
     def encode(text: str) -> Sequence[int]:
         if any(token in text for token in added):
-            return exact.encode(text, add_special_tokens=False).ids
+            return exact(text)
         return fast.encode_ordinary(text)
 
     return encode
@@ -86,7 +93,7 @@ def cut_tokens(definition: str, limit: int, end_id: int):
         encode, part = encoder(definition), TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
         for batch in batches:
-            for rows in (batch.slice(n, 1000) for n in range(0, batch.num_rows, 1000)):
+            for rows in (batch.slice(n, BLOCK) for n in range(0, batch.num_rows, BLOCK)):
                 ids = [np.array([*encode(t or ""), end_id], "<u4") for t in rows.column(1).to_pylist()]
                 tokens = np.array([len(x) for x in ids], np.int64)
                 pieces = -(-tokens // limit)
