@@ -93,3 +93,40 @@ def test_components_of_chains_stars_and_rings(spark):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_arrays(rows, threshold=0.93):
+    """As brute(), for sound vectors, whose ids ascend."""
+    units = np.array([v for _, v, _ in rows], np.float32).astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    labels = np.array([label for _, _, label in rows])
+    near = (units @ units.T >= threshold) & (labels[:, None] == labels)
+    np.fill_diagonal(near, False)
+    least, last = np.arange(len(rows)), None
+    while last is None or (least != last).any():
+        last, least = least, np.minimum(least, np.where(near, least, len(rows)).min(1))
+    return {i: (int(n), rows[c][0]) for (i, _, _), n, c in zip(rows, near.sum(1), least)}
+
+
+@pytest.mark.parametrize("noise", [0.1, 0.24, 0.3])
+def test_links_of_groups_larger_than_a_leaf(spark, noise):
+    """A group of near copies that fills many leaves, beside spread vectors and isolated pairs."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=24)
+    group = centre / np.linalg.norm(centre) + rng.normal(size=(1500, 24)) * noise / np.sqrt(24)
+    spread = rng.normal(size=(600, 24))
+    pairs = spread[:100] + rng.normal(size=(100, 24)) * 0.1
+    rows = [(n, v.astype(np.float32).tolist(), 1) for n, v in enumerate(np.concatenate((group, spread, pairs)))]
+    got = {r.vec_id: (r.n_links, r.component_id)
+           for r in near_dup.near_duplicates(frame(spark, rows), leaf=64).collect()}
+    want = brute_arrays(rows)
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert sum(n for n, _ in got.values()) >= 0.999 * sum(n for n, _ in want.values())
+    assert sum(got[i][1] == want[i][1] for i in want) >= 0.99 * len(want)
+
+
+def test_labels_of_a_few_leaves_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "RING", 60)
+    rows = clustered(np.random.default_rng(6), 12, 75, noise=0.3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_dup.near_duplicates(frame(spark, rows), leaf=50).collect()}
+    assert got == brute_arrays(rows)
