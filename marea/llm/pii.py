@@ -34,6 +34,7 @@ from marea.session import materialized
 KEY = "marea demonstration key"     # a parameter: give a secret of your own
 ROUNDS = 4
 SYLLABLES = 4                       # of a name; a further attempt adds one
+SECRET_STEP = 8                     # letters that a further attempt adds to the least length of a secret
 
 # --- Fixed values -----------------------------------------------------------
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -189,11 +190,13 @@ def email(match: Column, key: str, attempt: int) -> Column:
 
 
 def secret(match: Column, key: str, attempt: int) -> Column:
-    """The label and its marks stay; the value becomes another of its alphabet and length."""
+    """The label and its marks stay; the value becomes another of its alphabet and length, and
+    a further attempt lengthens short values, which are too few for a large corpus."""
     def run(value: Column) -> Column:
         digest = F.concat(*[keyed(key, "secret", F.lit(attempt), F.lit(n), F.lower(value)) for n in range(4)])
-        times = (F.length(value) / 256 + 1).cast("int")
-        hexes = F.substr(F.repeat(digest, times), F.lit(1), F.length(value))
+        length = F.greatest(F.length(value), F.lit((attempt + 1) * SECRET_STEP if attempt else 0))
+        times = (length / 256 + 1).cast("int")
+        hexes = F.substr(F.repeat(digest, times), F.lit(1), length)
         letters = F.translate(hexes, *OTHER_ALPHABET)
         made = F.when(value.rlike("^[0-9a-f]+$"), hexes).when(value.rlike("^[0-9A-F]+$"), F.upper(hexes)) \
             .when(value.rlike("^[^a-z]+$"), F.upper(letters)).otherwise(letters)
@@ -207,6 +210,12 @@ def cloud_key(match: Column, key: str, attempt: int) -> Column:
     return F.concat(F.substr(match, F.lit(1), F.lit(4)), F.upper(F.translate(F.substring(digest, 1, 16), *OTHER_ALPHABET)))
 
 
+def stem_of(word: Column) -> Column:
+    """A name in lower case, a Cyrillic one without the ending of female family names."""
+    return F.when(word.rlike(r"^\p{IsCyrillic}"), F.regexp_replace(F.lower(word), "(?<=ов|ев|ин|ын)а$", "")) \
+        .otherwise(F.lower(word))
+
+
 def name(match: Column, key: str, attempt: int) -> Column:
     """Title, given names and family name; one name after a title is the family name."""
     def run(words: Column) -> Column:
@@ -217,7 +226,7 @@ def name(match: Column, key: str, attempt: int) -> Column:
             cyrillic = word.rlike(r"^\p{IsCyrillic}")
             made = []
             for script, table in (("latin", LATIN), ("cyrillic", CYRILLIC)):
-                stem = F.regexp_replace(F.lower(word), "(?<=ов|ев|ин|ын)а$", "") if script == "cyrillic" else F.lower(word)
+                stem = stem_of(word)
                 for role, ends in (("family", FAMILY_ENDS), ("given", GIVEN_ENDS)):
                     stem_ = spoken(number(keyed(key, role, F.lit(attempt), stem)), table, min(10, SYLLABLES + attempt))
                     made.append(F.concat(stem_, F.when(female, F.lit(ends[script, "f"])).otherwise(F.lit(ends[script, "m"]))))
@@ -255,7 +264,10 @@ def matches(text: Column) -> Column:
 def normalised(kind: Column, match: Column) -> Column:
     """What makes two matches of a drawn kind the same entity."""
     value = F.regexp_extract(match, r"([A-Za-z0-9+/_.~-]+)$", 1)
-    return F.when(kind == "secret", F.lower(value)).when(kind == "cloud_key", match).otherwise(F.lower(match))
+    stems = F.array_join(F.transform(F.split(match, " "), lambda word, place: F.when(
+        place == 0, F.lower(word)).otherwise(stem_of(word))), " ")
+    return F.when(kind == "secret", F.lower(value)).when(kind == "cloud_key", match) \
+        .when(kind == "name", stems).otherwise(F.lower(match))
 
 
 def distinct_attempts(docs: DataFrame, key: str, text_col: str) -> dict[str, int]:

@@ -97,3 +97,18 @@ def test_odd_rows_of_replacement(spark):
 def test_long_near_misses_take_linear_time(spark, shape):
     (text,), _ = replaced(spark, shape)
     assert text == shape
+
+
+def test_both_endings_of_a_name_after_one_title_are_one_entity(spark):
+    texts, found = replaced(spark, "госпожа Петрова", "госпожа Петров", "господин Петрова", "господин Петров")
+    assert texts[0] == texts[1] and texts[2] == texts[3] and found == [1] * 4
+    assert texts[0].split()[1] == texts[2].split()[1] + "а"
+
+
+def test_more_secrets_than_surrogates_of_their_length(spark, monkeypatch):
+    """With two letters to draw from there are 256 surrogates of eight letters."""
+    monkeypatch.setattr(pii, "OTHER_ALPHABET", ("0123456789abcdef", "kkkkkkkkmmmmmmmm"))
+    texts = [f"password = z{chr(97 + n // 26)}{chr(97 + n % 26)}qwert now 1" for n in range(300)]
+    made, found = replaced(spark, *texts)
+    assert len(set(made)) == len(texts) and found == [1] * len(texts)
+    assert all(re.fullmatch("password = [km]{16,} now 1", m) for m in made)
