@@ -42,9 +42,10 @@ NAME = r"\p{Lu}[\p{L}'’-]*+"
 MALE_TITLES = ("Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "господин", "Господин")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "госпожа", "Госпожа")
 TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+SECRET_LABELS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key"
 # Kinds in the order in which they are tried at a place.
 PATTERNS = {
-    "secret": r"(?i:(?<![\p{L}\p{N}])(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)"
+    "secret": rf"(?i:(?<![\p{{L}}\p{{N}}])(?:{SECRET_LABELS})"
               r"\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_.~-]{8,}+)",
     "cloud_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
@@ -64,7 +65,8 @@ FAMILY_ENDS = {("latin", "f"): "l", ("latin", "m"): "l", ("cyrillic", "f"): "о
 # ----------------------------------------------------------------------------
 
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-MAY_HOLD = rf"[@\d]|(?:{TITLES})\.? "
+# Part of every match of each kind; the last six kinds hold '@', a digit or a title.
+MAY_HOLD = rf"[@\d]|(?:{TITLES})\.? |(?:AKIA|ASIA)[A-Z]|(?i:{SECRET_LABELS})\s{{0,3}}[=:]"
 OTHER_ALPHABET = ("0123456789abcdef", "k3m9pqr7tuvwxyza")
 LATIN = [c + v for c in LATIN_CONSONANTS for v in LATIN_VOWELS]
 CYRILLIC = [c + v for c in CYRILLIC_CONSONANTS for v in CYRILLIC_VOWELS]
