@@ -175,34 +175,28 @@ def as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task function over sorted entries: one of each set in a list, without lists of one
-    set. It looks one batch ahead at most, however long a list is."""
-    def pick(now: pa.Table, before, after) -> pa.Table:
-        token, key = (now.column(n).to_numpy() for n in ("token", "set_key"))
-        previous = np.concatenate(([before[0] if before else 0], token[:-1]))
-        inside = token == previous
-        inside[0] &= before is not None
-        new = ~(inside & (key == np.concatenate(([before[1] if before else 0], key[:-1]))))
-        same_next = np.concatenate((token[1:] == token[:-1], [after is not None and after[0] == token[-1]]))
-        # A repeat is adjacent to its first: look past it for another set in the list.
-        other_next = np.concatenate((key[1:] != key[:-1], [after is not None and after[1] != key[-1]])) & same_next
-        last_new = np.flatnonzero(new)
-        shares = np.zeros(len(now), bool)
-        ends = np.concatenate((last_new[1:] - 1, [len(now) - 1])) if len(last_new) else last_new
-        shares[last_new] = other_next[ends]
-        return now.filter(pa.array(new & (inside | shares)))
-
-    held, before = None, None
+    set. The first entry of a list waits until another set comes or the list ends, over
+    any number of batches."""
+    waiting, token, key = None, None, None      # the last entry's token and set; its list's only set so far
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = pa.Table.from_batches([batch])
-        if held is not None:
-            first = (now.column("token")[0].as_py(), now.column("set_key")[0].as_py())
-            yield from pick(held, before, first).to_batches()
-            before = (held.column("token")[-1].as_py(), held.column("set_key")[-1].as_py())
-        held = now
-    if held is not None:
-        yield from pick(held, before, None).to_batches()
+        tokens, keys = (batch.column(n).to_numpy() for n in ("token", "set_key"))
+        same_list = np.concatenate(([token == tokens[0]], tokens[1:] == tokens[:-1]))
+        repeat = same_list & np.concatenate(([key == keys[0]], keys[1:] == keys[:-1]))
+        token, key = int(tokens[-1]), int(keys[-1])
+        now = pa.Table.from_batches([batch]).filter(pa.array(~repeat))
+        if waiting is not None:
+            now, same_list = pa.concat_tables([waiting, now]), np.concatenate(([False], same_list[~repeat]))
+        else:
+            same_list = same_list[~repeat]
+        if not len(now):
+            continue
+        follows = np.concatenate((same_list[1:], [False]))
+        alone = not same_list[-1]       # the last list has one set until now
+        shares = same_list | follows
+        yield from now.filter(pa.array(shares)).to_batches()
+        waiting = now.slice(len(now) - 1) if alone else None
 
 
 def candidate_pairs(threshold: int, first: int, last: int):

@@ -91,3 +91,32 @@ def test_shingles_split_at_ascii_white_space_only():
     assert same[0] == same[1] == same[2]
     assert len(ngram_join.shingles("a b c d", 3, hashes)) == 2
     assert len(ngram_join.shingles("É é É é", 3, hashes)) == 2
+
+
+def test_repeats_across_batches_lose_no_entry():
+    """Lists of (token, sets) cut into batches at every size."""
+    import itertools
+
+    import pyarrow as pa
+
+    lists = [[1, 1, 1, 2], [3], [1, 1, 2, 2, 2], [4, 4, 4, 4], [1], [1, 2, 3], [5, 5], [6, 7]]
+    rows = [(token, key) for token, keys in enumerate(lists) for key in keys]
+    want = [(token, key) for token, keys in enumerate(lists) for key in dict.fromkeys(keys) if len(set(keys)) > 1]
+    for size in range(1, len(rows) + 1):
+        batches = [pa.RecordBatch.from_pydict({"token": [t for t, _ in some], "set_key": [k for _, k in some]})
+                   for some in itertools.batched(rows, size)]
+        got = [(r["token"], r["set_key"]) for b in ngram_join.shared_entries(iter(batches)) for r in b.to_pylist()]
+        assert got == want, size
+
+
+def test_copies_in_many_tasks_and_small_batches(spark):
+    rows = corpus(11, 12, 6)
+    rows = rows + [(10_000 * k + r[0], *r[1:]) for k in range(1, 4) for r in rows]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id)
+               for r in ngram_join.join(messy(spark, rows).repartition(8), 3, 90).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == brute(rows, 3, 90)
