@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marea.llm import fingerprint, licenses, mixing, near_dup, ngram_join, packing, pii, quality, sharding, toxicity
+from marea.llm import (filter_audit, fingerprint, licenses, mixing, near_dup, ngram_join, packing, periodic_runs, pii,
+                       quality, sharding, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1_near_dup,
@@ -19,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": sharding.op8_sharding,
     "op9_licenses": licenses.op9_licenses,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 CHECKS: dict[str, str] = {
@@ -26,4 +29,6 @@ CHECKS: dict[str, str] = {
     "op2_mixing": mixing.OP2_SQL,
     "op9_licenses": licenses.OP9_SQL,
     "op10_ngram_join": ngram_join.OP10_SQL,
+    "op12_periodic_runs": periodic_runs.OP12_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
