@@ -2,10 +2,11 @@
 
 Each task turns its documents into shards of a compressed sparse row matrix: row starts,
 word numbers and counts, with the words numbered as the shard meets them. The words of
-all shards meet in a global dictionary: hash ranges of words are sorted, and a word's id
-is its place within its range times the number of ranges, plus the number of its range,
-so that no task and no driver holds the dictionary. A shard then takes the ids of its
-own words and is part of the one global matrix. Row sums are the documents' words,
+all shards meet in a global dictionary: a shard's distinct words are dealt to hash ranges,
+a range sorts its words, and a word's id is its place within its range times the number
+of ranges, plus the number of its range, so that no task and no driver holds the dictionary
+and a repeated task gives the same ids. The number of ranges grows with the text. A shard
+then takes the ids of its own words and is part of the one global matrix. Row sums are the documents' words,
 nonzero counts their distinct words. What does not depend on words is attached to the rows.
 
 The audit removes documents by every order of the filters. It needs no more than the number
@@ -13,7 +14,7 @@ of documents for each set of failed filters in a part of the table: documents ar
 counted by these sets first, so the orders multiply a few rows and not the documents.
 
 What is shuffled: each shard's distinct words, twice, its compressed rows once, and a
-digest per document. A shard has at most 2 million words, unless one document alone has
+digest per document. A shard has at most 8 million words, unless one document alone has
 more. Copies and repeated rows collapse map-side before they meet.
 
 Defined cases: a null text is an empty one, which fails only the filter for short texts
@@ -26,6 +27,8 @@ are read whole; columns of any other name are ignored; an empty table gives no r
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -38,8 +41,8 @@ from marea.functions.bounded import broadcast_if_small
 from marea.llm.common import column, documents
 from marea.session import materialized
 
-SHARD_WORDS = 2_000_000
-WORDS_PER_RANGE = 200_000       # entries of a range of the dictionary, about
+SHARD_WORDS = 8_000_000
+RANGE_BYTES = 16 * 1024 * 1024      # of text for each range of the dictionary
 
 # --- Fixed values -----------------------------------------------------------
 # Filters: A short, B repetitive, C capitals, D symbols, E an earlier document's text.
@@ -49,53 +52,88 @@ SYMBOLS = "[#$%&*|]"
 # ----------------------------------------------------------------------------
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Integers as compressed bytes, the bytes of equal weight side by side."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T),
+                       "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, count: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, count * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, count).T).view(kind).reshape(count)
+
+
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Shard:
     """Rows gathered by a task, with words numbered in order of appearance."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
-        self.numbers: list[np.ndarray] = []
+        self.words = _Words()
+        self.terms: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
         self.rows: list[pa.StructArray] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
-        found, words = text.split(), self.words
-        for word in set(found).difference(words):
-            words[word] = len(words)
-        self.numbers.append(np.fromiter(map(words.__getitem__, found), np.int64, len(found)))
+        found = text.split()
+        cells = Counter(found)
+        terms = np.fromiter(map(self.words.__getitem__, cells), np.uint32, len(cells))
+        order = np.argsort(terms)
+        self.terms.append(terms[order])
+        self.counts.append(np.fromiter(cells.values(), np.uint32, len(cells))[order])
         self.size += len(found)
 
-    def csr(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row starts, word numbers and counts."""
-        sizes = np.array([len(n) for n in self.numbers], np.int64)
-        cells = np.repeat(np.arange(len(sizes)), sizes) << 32 | np.concatenate(self.numbers)
-        cells, counts = np.unique(cells, return_counts=True)
-        starts = np.searchsorted(cells, np.arange(len(sizes) + 1) << 32)
-        return starts, (cells & 0xFFFFFFFF).astype(np.int32), counts.astype(np.int32)
+    def matrix(self) -> list[bytes]:
+        """Row starts, word numbers as differences, and counts."""
+        starts = np.concatenate(([0], np.cumsum([len(t) for t in self.terms]))).astype(np.int64)
+        terms = np.concatenate(self.terms)
+        return [starts.tobytes(), packed(np.diff(terms, prepend=np.uint32(0))), packed(np.concatenate(self.counts))]
 
+    def word_ranges(self, ranges: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+        """The words of each range that has any, with their numbers."""
+        words = list(self.words)
+        own = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(ranges)
+        order = np.argsort(own, kind="stable").astype(np.uint32)
+        cuts = np.flatnonzero(np.diff(own[order], prepend=-1))
+        for begin, end in zip(cuts, [*cuts[1:], len(order)]):
+            numbers = order[begin:end]
+            yield int(own[numbers[0]]), [words[n] for n in numbers], numbers
 
-def build_shards(attributes: int, shard_words: int):
+
+SHARD_NAMES = ["shard", "rows", "starts", "terms", "counts", "range", "n", "words", "numbers"]
+WORD_SCHEMA = "range int, shard long, n int, words binary, numbers binary"
+
+
+def build_shards(attributes: int, shard_words: int, ranges: int):
     """Task function: attributes and a text to shards. A shard is one row with its matrix and
-    its documents' attributes, followed by a row per word."""
+    its documents' attributes, followed by its words, a row per range of the dictionary."""
 
-    def shard_batches(shard: _Shard, name: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        names = ["shard", "number", "word", "rows", "starts", "terms", "counts"]
+    def shard_batches(shard: _Shard, name: int) -> Iterator[pa.RecordBatch]:
         rows = pa.concat_arrays(shard.rows)
         lists = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
-        blobs = [pa.array([part.tobytes()], pa.binary()) for part in shard.csr()]
+        blobs = [pa.array([part], pa.binary()) for part in shard.matrix()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([name], pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), lists, *blobs], names=names)
-        words = list(shard.words)
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
+            [pa.array([name]), lists, *blobs, pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+             pa.nulls(1, pa.binary())], names=SHARD_NAMES)
+        parts = list(shard.word_ranges(ranges))
+        for at in range(0, len(parts), 1000):
+            some = parts[at:at + 1000]
+            columns = [pa.array([r for r, _, _ in some], pa.int32()), pa.array([len(w) for _, w, _ in some], pa.int32()),
+                       pa.array([b" ".join(w) for _, w, _ in some], pa.binary()),
+                       pa.array([packed(n) for _, _, n in some], pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), name)), pa.array(np.arange(at, at + len(part), dtype=np.int32)),
-                 pa.array(part, pa.binary()), pa.nulls(len(part), lists.type),
-                 *[pa.nulls(len(part), pa.binary()) for _ in blobs]], names=names)
+                [pa.array(np.full(len(some), name)), pa.nulls(len(some), lists.type),
+                 *[pa.nulls(len(some), pa.binary())] * 3, *columns], names=SHARD_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        place, made, shard, kind = TaskContext.get().partitionId(), 0, _Shard(), None
+        place, made, shard = TaskContext.get().partitionId(), 0, _Shard()
         for batch in batches:
             fields = [batch.schema.field(n) for n in range(attributes)]
             rows = pa.StructArray.from_arrays([batch.column(n) for n in range(attributes)], fields=fields)
@@ -104,29 +142,64 @@ def build_shards(attributes: int, shard_words: int):
                 shard.add(text.as_py() or b"")
                 if shard.size >= shard_words:
                     shard.rows.append(rows.slice(begin, n + 1 - begin))
-                    yield from shard_batches(shard, place << 32 | made, kind)
+                    yield from shard_batches(shard, place << 32 | made)
                     made, shard, begin = made + 1, _Shard(), n + 1
             if begin < batch.num_rows:
                 shard.rows.append(rows.slice(begin))
         if shard.rows:
-            yield from shard_batches(shard, place << 32 | made, kind)
+            yield from shard_batches(shard, place << 32 | made)
 
     return run
 
 
-def with_global_terms(shard: pa.Table, words: pa.Table) -> pa.Table:
-    """A shard's matrix with the dictionary's ids in place of its own numbers."""
-    if not shard.num_rows:
-        return pa.table({"shard": pa.array([], pa.int64()), "rows": shard.column("rows"),
-                         **{n: pa.array([], pa.binary()) for n in ("starts", "terms", "counts")}})
-    ids = np.zeros(words.num_rows, np.int64)
-    ids[words.column("number").to_numpy()] = words.column("term").to_numpy()
-    terms = np.frombuffer(shard.column("terms")[0].as_buffer(), np.int32)
-    return shard.select(["shard", "rows", "starts", "terms", "counts"]).set_column(
-        3, "terms", pa.array([ids[terms].tobytes()], pa.binary()))
+def range_words(table: pa.Table) -> tuple[list[list[bytes]], list[bytes]]:
+    """The words of each shard in one range, and all of them in order."""
+    per_shard = [blob.as_py().split(b" ") for blob in table.column("words")]
+    return per_shard, sorted(set().union(*per_shard))
+
 
+def number_range(ranges: int):
+    """Group function over one range of the dictionary: for each shard the ids of its words."""
 
-def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
+    def run(table: pa.Table) -> pa.Table:
+        own = table.column("range")[0].as_py()
+        per_shard, ordered = range_words(table)
+        place = {word: n * ranges + own for n, word in enumerate(ordered)}
+        ids = [packed(np.fromiter(map(place.__getitem__, words), np.int64, len(words))) for words in per_shard]
+        return pa.table([table.column("shard"), table.column("n"), table.column("numbers"), pa.array(ids, pa.binary())],
+                        names=["shard", "n", "numbers", "ids"])
+
+    return run
+
+
+def list_range(ranges: int):
+    """Group function: the words of one range of the dictionary with their ids."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, ordered = range_words(table)
+        ids = np.arange(len(ordered), dtype=np.int64) * ranges + table.column("range")[0].as_py()
+        return pa.table([pa.array(ordered, pa.binary()), pa.array(ids)], names=["word", "term"])
+
+    return run
+
+
+def with_global_terms(shard: pa.Table, words: pa.Table) -> pa.Table:
+    """A shard's matrix with the dictionary's ids in place of its own numbers."""
+    ids = np.zeros(sum(words.column("n").to_pylist()), np.int64)
+    for count, numbers, known in zip(*(words.column(c).to_pylist() for c in ("n", "numbers", "ids"))):
+        ids[unpacked(numbers, count, np.uint32)] = unpacked(known, count, np.int64)
+    columns = {n: shard.column(n).to_pylist() for n in ("starts", "terms", "counts")}
+    terms, counts = [], []
+    for starts, differences, sizes in zip(*columns.values()):
+        cells = int(np.frombuffer(starts, np.int64)[-1])
+        terms.append(ids[np.cumsum(unpacked(differences, cells, np.uint32), dtype=np.uint32)].tobytes())
+        counts.append(unpacked(sizes, cells, np.uint32).tobytes())
+    return pa.table([shard.column("shard"), shard.column("rows"), shard.column("starts"), pa.array(terms, pa.binary()),
+                     pa.array(counts, pa.binary())], names=["shard", "rows", "starts", "terms", "counts"])
+
+
+def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS,
+                range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """The document-term matrix of ``rows`` and its dictionary.
 
     The matrix has one row per shard: ``shard``, ``rows`` (an array of the documents' other
@@ -134,21 +207,19 @@ def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS) -> t
     ``counts`` (32-bit) of its cells. The dictionary is ``word`` (UTF-8 bytes), ``term``.
     """
     attributes = [f for f in rows.schema if f.name != text]
-    spark = rows.sparkSession
+    size = rows.agg(F.coalesce(F.sum(F.octet_length(column(rows, text)).cast("long")), F.lit(0))).first()[0]
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(4 * partitions, size // range_bytes)
     ordered = rows.select(*[column(rows, f.name) for f in attributes], column(rows, text).cast("binary"))
-    kind = StructType(attributes).simpleString()
     shards = materialized(ordered.mapInArrow(
-        build_shards(len(attributes), shard_words),
-        f"shard long, number int, word binary, rows array<{kind}>, starts binary, terms binary, counts binary"))
-    words = shards.where(F.col("number").isNotNull()).select("shard", "number", "word")
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words.count() // WORDS_PER_RANGE)
-    ranged = words.withColumn("range", F.pmod(F.xxhash64("word"), F.lit(ranges)))
-    place = F.dense_rank().over(Window.partitionBy("range").orderBy("word")).cast("long") - 1
-    numbered = ranged.withColumn("term", place * ranges + F.col("range"))
-    local = shards.where(F.col("number").isNull()).select("shard", "rows", "starts", "terms", "counts")
-    matrix = local.groupBy("shard").cogroup(numbered.select("shard", "number", "term").groupBy("shard")).applyInArrow(
-        with_global_terms, local.schema)
-    return matrix, numbered.select("word", "term").distinct()
+        build_shards(len(attributes), shard_words, ranges),
+        f"shard long, rows array<{StructType(attributes).simpleString()}>, starts binary, terms binary, counts binary, "
+        + WORD_SCHEMA.replace("shard long, ", "")))
+    words = shards.where(F.col("range").isNotNull()).select("range", "shard", "n", "words", "numbers").groupBy("range")
+    numbered = words.applyInArrow(number_range(ranges), "shard long, n int, numbers binary, ids binary")
+    local = shards.where(F.col("range").isNull()).select("shard", "rows", "starts", "terms", "counts")
+    matrix = local.groupBy("shard").cogroup(numbered.groupBy("shard")).applyInArrow(with_global_terms, local.schema)
+    return matrix, words.applyInArrow(list_range(ranges), "word binary, term long")
 
 
 def row_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +227,7 @@ def row_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for n in range(batch.num_rows):
             starts = np.frombuffer(batch.column("starts")[n].as_buffer(), np.int64)
-            counts = np.frombuffer(batch.column("counts")[n].as_buffer(), np.int32)
+            counts = np.frombuffer(batch.column("counts")[n].as_buffer(), np.uint32)
             sums = np.diff(np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))[starts])
             rows = batch.column("rows").slice(n, 1).flatten()
             yield pa.RecordBatch.from_arrays([rows, pa.array(sums), pa.array(np.diff(starts))],
