@@ -72,6 +72,13 @@ def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = (
         paths.remove(text)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver let go of what finished jobs left: broadcasts, shuffle files and plans
+    that nothing refers to any more. Spark removes them once the driver's garbage collector
+    has found them, which in a long chain of stages may be late or never."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder once and go on from the written table.
 
