@@ -5,8 +5,8 @@ their Jaccard similarity is at least ``threshold`` percent. The join is exact up
 hash collisions (a few for each 10^10 sets):
 
 * equal sets are one node from the start;
-* shingles are ordered by how often their hash bucket occurs in the whole corpus,
-  rarest first. Linked sets share a shingle in the prefix of that order, so each
+* shingles are ordered by how often their hash bucket (of four million) occurs in the whole
+  corpus, rarest first, finely enough to put passages that documents share last. Linked sets share a shingle in the prefix of that order, so each
   set is listed under the shingles of its prefix, by size and then position;
 * within a list, a pair is a candidate only if its sizes and the positions of the
   shingle leave room for the overlap needed, and if the parities of the two sets
@@ -40,7 +40,7 @@ from marea.llm.common import column, documents
 from marea.llm.components import components
 from marea.session import materialized
 
-SKETCH_BITS = 20        # buckets of the corpus-wide shingle counts: a fixed 4 MB
+SKETCH_BITS = 22        # buckets of the corpus-wide shingle counts: a fixed 16 MB
 PARITY_BITS = 256
 FIRST_BLOCK, BLOCK_GROWTH = 8, 64
 CACHED_WORDS = 200_000
@@ -108,24 +108,35 @@ def describe_sets(words: int):
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
-                 pa.array([counts.tobytes()], pa.binary())], names=names)
+                 pa.array([packed(counts)], pa.binary())], names=names)
 
     return run
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as compressed bytes, the bytes of equal weight side by side."""
+    return pa.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T), "zstd", asbytes=True)
+
+
+def unpacked(data: pa.Buffer | bytes) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 << SKETCH_BITS, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).reshape(-1)
+
+
 def add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for batch in batches:
         for counts in batch.column(0):
-            own = np.frombuffer(counts.as_buffer(), np.uint32)
-            total = own.copy() if total is None else total + np.minimum(own, ~total)
+            own = unpacked(counts.as_buffer())
+            total = own if total is None else total + np.minimum(own, ~total)
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([packed(total)], pa.binary())], names=["counts"])
 
 
 def frequency_ranks(described: DataFrame) -> np.ndarray:
-    """For each shingle bucket a rank from 0 to 255 that grows with the logarithm of its
-    count. The counts of the tasks are added in a tree; one table of fixed size results."""
+    """For each shingle bucket a rank from 0 to 255 that grows with its count: by quantiles for
+    the bulk of the buckets, whose counts differ by chance, and by the logarithm above. The
+    counts of the tasks are added in a tree; one table of fixed size results."""
     counts = described.where(F.col("counts").isNotNull()).select("counts")
     tasks = counts.count()
     while tasks > 1:
@@ -134,7 +145,11 @@ def frequency_ranks(described: DataFrame) -> np.ndarray:
     total = [r["counts"] for r in counts.collect()]
     if not total:
         return np.zeros(1 << SKETCH_BITS, np.uint8)
-    return np.minimum(255, 8 * np.log2(1.0 + np.frombuffer(total[0], np.uint32))).astype(np.uint8)
+    counts = unpacked(bytes(total[0])).astype(np.float64)
+    marks = np.quantile(counts, np.append(np.arange(1, 128) / 128, 0.995))
+    bulk = np.searchsorted(marks[:-1], counts, "left")
+    above = 128 + np.minimum(127, 12 * np.log2(np.maximum(counts, 1) / max(marks[-1], 1)))
+    return np.where(counts > marks[-1], above, bulk).astype(np.uint8)
 
 
 def prefix_size(size: int, threshold: int) -> int:
