@@ -14,10 +14,11 @@ hash collisions (a few for each 10^10 sets):
   classes, and two sets differ in at least as many members as in bits;
 * a candidate is compared by the prefixes first: beyond the shingles that both prefixes
   hold, the sets can only share what follows the prefix of one of them;
-* lists are read in blocks of partners at a growing distance, and pairs whose answer
-  follows from answers already found, since their sets are in one component by now,
-  are skipped. That goes on until no list holds a pair of two components that was
-  not considered.
+* lists are read in blocks of partners at a growing distance. One list in sixteen has a
+  head start, since near copies share many shingles and need not meet at each of them; then
+  all lists are read. Pairs whose answer follows from the answers of sets similar to them, since all are in one component
+  by now, are skipped. That goes on until no list holds a pair of two components that
+  was not considered.
 
 So a group of near copies costs a few comparisons per set instead of one per pair.
 
@@ -43,6 +44,7 @@ from marea.session import materialized
 SKETCH_BITS = 22        # buckets of the corpus-wide shingle counts: a fixed 16 MB
 PARITY_BITS = 256
 FIRST_BLOCK, BLOCK_GROWTH = 8, 64
+HEAD_START = 16         # one list in so many is read before all of them are
 CACHED_WORDS = 200_000
 FAN_IN = 16
 MAX_BROADCAST = 500_000
@@ -230,13 +232,13 @@ def candidate_pairs(threshold: int, first: int, last: int):
             token, key, size, position, component, parity = rows = new if kept is None else \
                 [np.concatenate(both) for both in zip(kept, new)]
             lower, upper = [], []
-            for distance in range(first, min(last, len(token) - 1) + 1):
-                y = np.arange(max(distance, begin), len(token))
-                y = y[token[y] == token[y - distance]]
-                if not len(y):
+            places = np.arange(max(first, begin), len(token))
+            for distance in range(first, last + 1):
+                places = places[places >= distance]     # those of the last distance whose list goes on
+                places = places[token[places] == token[places - distance]]
+                if not len(places):
                     break
-                x = y - distance
-                y, x = (v[component[x] != component[y]] for v in (y, x))
+                y, x = (v[component[places - distance] != component[places]] for v in (places, places - distance))
                 fits = 100 * size[x] >= threshold * size[y]
                 overlap = np.minimum(size[x] - position[x], size[y] - position[y])
                 fits &= (100 + threshold) * overlap >= threshold * (size[x] + size[y])
@@ -318,7 +320,9 @@ def join(docs: DataFrame, words: int = 3, threshold: int = 90, id_col: str = "do
     order = ["token", "size", "position", "set_key"]
     shared = entries.repartition("token").sortWithinPartitions(*order).mapInArrow(shared_entries, entries.schema)
     lists = materialized(shared.join(holders.select("set_key", "parity"), "set_key").select(*entries.columns, "parity"))
-    active, groups = lists.withColumn("component", F.col("set_key")), None
+    head_start = F.pmod("token", F.lit(HEAD_START)) == 0
+    active = lists.where(head_start).withColumn("component", F.col("set_key"))
+    groups, whole = None, False
     first, last = 1, FIRST_BLOCK
     while True:
         found = materialized(active.repartition("token").sortWithinPartitions(*order)
@@ -328,14 +332,18 @@ def join(docs: DataFrame, words: int = 3, threshold: int = 90, id_col: str = "do
         if groups is not None:      # one link per set stands for all found before
             links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
         groups = materialized(components(links))
-        beyond = materialized(found.where(F.col("a").isNull()).select(F.col("b").alias("token")).distinct())
-        open_lists = beyond.count()
-        if not open_lists:
-            break
-        active = lists.join(hinted(beyond, open_lists), "token", "left_semi") \
+        if whole:
+            beyond = materialized(found.where(F.col("a").isNull()).select(F.col("b").alias("token")).distinct())
+            open_lists = beyond.count()
+            if not open_lists:
+                break
+            active, first = lists.join(hinted(beyond, open_lists), "token", "left_semi"), last + 1
+        else:
+            active, whole = lists, True
+        last *= BLOCK_GROWTH
+        active = active \
             .join(hinted(groups, groups.count()), F.col("set_key") == F.col("node"), "left") \
             .withColumn("component", F.coalesce("component", "set_key")).drop("node")
-        first, last = last + 1, last * BLOCK_GROWTH
     labelled = rows.join(groups, F.col("set_key") == F.col("node"), "left") \
         .withColumn("group", F.coalesce("component", "set_key"))
     smallest = labelled.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()) \
