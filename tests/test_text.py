@@ -55,6 +55,15 @@ def test_compact_text_keeps_texts_apart(spark):
     ("&#128512; &amp;#233;", "\U0001f600 &#233;"),
     ("<table><tr><td>uno</td><td>dos</td></tr><tr><th>a</th></tr></table>", "uno\n\ndos\n\na"),
     ("<dl><dt>t</dt><dd>d</dd></dl><blockquote>q</blockquote>x", "t\n\nd\n\nq\n\nx"),
+    ('<p>one</p><script>var a="<!--";</script><p>two</p><p>three</p>', "one\n\ntwo\n\nthree"),
+    ("<p>a</p><nav>a<nav>b</nav>secret menu</nav><p>b</p>", "a\n\nb"),
+    ('<p><a title="x > y">link</a></p>', "link"),
+    ("<nav-item>kept</nav-item><p>and this</p>", "kept\n\nand this"),
+    ("<!-- <script> --><p>a</p><!-- </script> --><p>b</p>", "a\n\nb"),
+    ("<STYLE media='a>b'>p{}</style ><p>a</p>", "a"), ("<p data-x='<!--'>a</p>b<p>c</p>", "a\n\nb\n\nc"),
+    ("<template>x<noscript>y</template>z</noscript><p>a</p></nav>b", "z\n\na\n\nb"),
+    ("<nav>a<template>b</nav>c", "c"), ("<nav>never closed<p>gone", ""), ('<p title="open>a</p>b', "a\n\nb"),
+    ("<NAV/ class=x>m</NAV>1 < 2 and 3 > 2", "1  2"), ("<p-card>x</p-card>y", "xy"),
     ("<p>a</p><script>leak()", "a"), ("<p>a</p><!-- open", "a"), ("x<br/>y<br class='c'>z", "x\ny\nz"),
 ])
 def test_html(spark, html, text):
