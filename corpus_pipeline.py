@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; its
 result is written and read again before the next one starts, so a lost executor costs
-part of one stage at most. All stages but the last return the columns of documents.
+part of one stage at most. All stages but the last return the columns of documents. A stage
+begins by letting the driver drop what the one before it left.
 
 The rows of a run depend on trained weights and keyed hashes, which SQL cannot express,
 so there is no check SQL; the tests hold a run against brute force.
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from marea.functions.bounded import broadcast_if_small
 from marea.llm import mixing, ngram_join, packing, pii, toxicity
 from marea.llm.common import column, documents, fresh
-from marea.session import materialized
+from marea.session import materialized, release
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
 MAX_BROADCAST = 500_000
@@ -25,6 +26,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of the toxicity score; null and empty texts stay."""
+    release(spark)
     score = fresh(docs.columns, "score")
     scored = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).score(docs, out=score)
     return scored.where(column(scored, score) < toxicity.THRESHOLD).select(
@@ -35,6 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest id of each group of near duplicates. Documents without
     words and rows with a null id belong to no group; a row that repeats another's id and
     text goes, and rows of one id with different texts are judged by that id."""
+    release(spark)
     groups = materialized(ngram_join.join(docs, SHINGLE_WORDS, SIMILARITY))
     leave = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(broadcast_if_small(leave, MAX_BROADCAST), "doc_id", "left_anti").select(
@@ -52,16 +55,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data and secrets."""
+    release(spark)
     return pii.replace_entities(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix takes them: once or more, the last of a source cut."""
+    release(spark)
     return mixing.mixed_documents(docs, materialized(mixing.mix_plan(docs)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece of a document, with its place in a sequence."""
+    release(spark)
     return packing.digest(packing.token_pieces(docs, packing.definition_of()))
 
 
