@@ -5,7 +5,7 @@ their Jaccard similarity is at least ``threshold`` percent. The join is exact up
 hash collisions (a few for each 10^10 sets):
 
 * equal sets are one node from the start;
-* shingles are ordered by how often their hash bucket (of four million) occurs in the whole
+* shingles are ordered by how often their hash bucket (of two million) occurs in the whole
   corpus, rarest first, finely enough to put passages that documents share last. Linked sets share a shingle in the prefix of that order, so each
   set is listed under the shingles of its prefix, by size and then position;
 * within a list, a pair is a candidate only if its sizes and the positions of the
@@ -41,7 +41,7 @@ from marea.llm.common import column, documents
 from marea.llm.components import components
 from marea.session import materialized
 
-SKETCH_BITS = 22        # buckets of the corpus-wide shingle counts: a fixed 16 MB
+SKETCH_BITS = 21        # buckets of the corpus-wide shingle counts: a fixed 8 MB
 PARITY_BITS = 256
 FIRST_BLOCK, BLOCK_GROWTH = 8, 64
 HEAD_START = 16         # one list in so many is read before all of them are
@@ -102,7 +102,8 @@ def describe_sets(words: int):
             kind = batch.schema.field(0).type
             for rows in (batch.slice(n, 2000) for n in range(0, batch.num_rows, 2000)):
                 sets = [shingles(t, words, hashes) for t in rows.column(1).to_pylist()]
-                counts += np.bincount(np.concatenate(sets) >> _SHIFT, minlength=len(counts)).astype(np.uint32)
+                found, times = np.unique(np.concatenate(sets) >> _SHIFT, return_counts=True)
+                counts[found] += times.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
