@@ -1,116 +1,156 @@
-"""Exact order statistics without sorting a group in one task.
+"""Exact order statistics by radix selection, without sorting a group in one task.
 
-A value's rank needs an order, but not one global sort: approximate cut points
-(a small sketch) put every value into one of a few thousand bins, bin counts give
-the rank at each bin's edge, and only the values inside a bin are then ordered.
-The result is exact; the sketch merely decides how even the bins are.
+A double has a 64-bit key that orders like the number. Values are counted by the leading
+bits of that key; only the bin that holds a wanted rank is counted again by its next
+bits, and once more by the last ones, which leave a single value. Each count is a partial
+aggregate, so equal values collapse before the shuffle. Ranks come from prefix sums over
+blocks of bins. Nothing is sampled, and neither values nor bins reach the driver.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marea.functions.bounded import broadcast_if_small, local_frame
+from marea.functions.numeric import order_key
+
+BINS_PER_OCTAVE = 1024      # bins of the first count between a power of two and the next
+BLOCK_BITS = 11             # bins of a block, as a power of two
+DIGITS = ["bin", "middle", "low"]
 
-ROWS_PER_BIN = 100_000
 
+def _digits(key: Column, bins: int | None) -> list[Column]:
+    """The key in three digits: sign, exponent and leading fraction bits, then two halves of the rest."""
+    octave = max(bins or BINS_PER_OCTAVE, 1)
+    rest = max(52 - (octave - 1).bit_length(), 2)
+    low = rest // 2
+    mask = lambda bits: F.lit((1 << bits) - 1)
+    return [F.shiftright(key, rest).alias("bin"),
+            F.shiftright(key, low).bitwiseAND(mask(rest - low)).alias("middle"),
+            key.bitwiseAND(mask(low)).alias("low")]
 
-def _with_bins(df: DataFrame, columns: list[str], bins: int | None) -> DataFrame:
-    """Add ``_bin_<column>``: increasing with the value, at about equal depth.
 
-    Without a wish for ``bins`` there are enough that one task can order each; rows
-    that a single task orders anyway need neither a sketch nor cut points.
+def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int | None = None) -> DataFrame:
+    """Long form ``column, group, bin, middle, low, value``; missing values and groups drop out.
+
+    ``bins`` is the number of bins between a power of two and the next in the first count.
     """
-    bins = bins or df.count() // ROWS_PER_BIN + 1
-    if bins == 1:
-        return df.withColumns({f"_bin_{c}": F.lit(0) for c in columns})
-    marks = df.approxQuantile(columns, [i / bins for i in range(1, bins)], 1 / (2 * bins))
-    splits = [[float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")] for cuts in marks]
-    binned = Bucketizer(splitsArray=splits, inputCols=columns, outputCols=[f"_bin_{c}" for c in columns],
-                        handleInvalid="keep").transform(df)
-    return binned.withColumns({f"_bin_{c}": F.col(f"_bin_{c}").cast("int") for c in columns})
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(_name(c)).cast("double").alias("value"))
+                      for c in columns])
+    return (df.where(F.col(_name(group_col)).isNotNull()).select(F.col(_name(group_col)), F.inline(cells))
+            .where(F.col("value").isNotNull() & ~F.isnan("value"))
+            .withColumn("key", order_key(F.col("value")))
+            .select("column", group_col, *_digits(F.col("key"), bins), "value"))
 
 
-def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int | None = None) -> DataFrame:
-    """Long form ``column, group, bin, value``; missing values and groups drop out."""
-    numbers = (df.where(F.col(group_col).isNotNull())
-               .select(group_col, *[F.col(c).cast("double").alias(c) for c in columns]))
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_bin_{c}").alias("bin"),
-                               F.col(c).alias("value")) for c in columns])
-    return (_with_bins(numbers, columns, bins).select(group_col, F.inline(cells))
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _blocks(values: DataFrame, keys: list[str], digit: str) -> DataFrame:
+    """Counts of a digit in blocks of up to 2 ** BLOCK_BITS bins each: ``block, size, bins``, and
+    ``start``, the rows of the key before the block."""
+    counts = values.groupBy(*keys, digit).agg(F.count("*").alias("n"), F.min("value").alias("value"))
+    blocks = counts.groupBy(*keys, F.shiftright(digit, BLOCK_BITS).alias("block")).agg(
+        F.sum("n").alias("size"),
+        F.sort_array(F.collect_list(F.struct(F.col(digit).alias("digit"), "n", "value"))).alias("bins"))
+    upto = F.sum("size").over(Window.partitionBy(*keys).orderBy("block"))
+    return blocks.withColumn("start", upto - F.col("size"))
+
+
+def _locate(blocks: DataFrame) -> Column:
+    """The bin in a block that holds the row ``pos`` of its key: ``left``, the row's rank inside the
+    bin, with the bin's ``digit`` and smallest ``value``."""
+    none = F.struct((F.col("pos") - F.col("start")).alias("left"), F.lit(None).cast("bigint").alias("digit"),
+                    F.lit(None).cast("double").alias("value"))
+
+    def step(found: Column, cell: Column) -> Column:
+        hit = F.struct(found["left"].alias("left"), cell["digit"].alias("digit"), cell["value"].alias("value"))
+        on = F.struct((found["left"] - cell["n"]).alias("left"), found["digit"].alias("digit"),
+                      found["value"].alias("value"))
+        return F.when(found["digit"].isNotNull(), found).when(found["left"] < cell["n"], hit).otherwise(on)
+
+    return F.aggregate("bins", none, step)
 
 
 def exact_quantiles(binned: DataFrame, group_col: str, probs: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles: ``column, group, n`` and one column per name.
 
-    Counts per bin are pre-aggregated before their shuffle; of the values, only
-    those of the few bins that hold a wanted position are shuffled and ordered.
+    Three passes over ``binned``, one per digit; the second and third count only the bins
+    that hold a wanted rank, at most two per name and group.
     """
     keys = ["column", group_col]
-    by_bin = Window.partitionBy(*keys).orderBy("bin")
-    bins = (binned.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
-            .withColumn("end", F.sum("n").over(by_bin))
-            .withColumn("total", F.sum("n").over(Window.partitionBy(*keys))))
     place = {name: (F.col("total") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    wanted = (bins.select(*keys, "bin", "total", (F.col("end") - F.col("n")).alias("before"), "end",
-                          F.inline(F.array(*[
-                              F.struct(F.lit(name).alias("name"), side.alias("pos"))
-                              for name, h in place.items()
-                              for side in (F.floor(h), F.ceil(h))])))
-              .where("pos >= before and pos < end").select(*keys, "bin", "total", "before", "name", "pos"))
-    wanted = broadcast_if_small(wanted.distinct())
-
-    inside = binned.join(wanted.select(*keys, "bin").distinct(), [*keys, "bin"])
-    by_value = Window.partitionBy(*keys, "bin").orderBy("value")
-    steps = (inside.groupBy(*keys, "bin", "value").agg(F.count("*").alias("n"))
-             .withColumn("upto", F.sum("n").over(by_value)))
-    found = (steps.join(wanted, [*keys, "bin"])
-             .where((F.col("pos") >= F.col("before") + F.col("upto") - F.col("n"))
-                    & (F.col("pos") < F.col("before") + F.col("upto")))
-             .groupBy(*keys, "total", "name")
-             .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.min("pos").alias("pos")))
-    exact = F.lit(None).cast("double")
+    sides = [F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), pos.cast("bigint").alias("pos"))
+             for name, h in place.items() for side, pos in (("low", F.floor(h)), ("high", F.ceil(h)))]
+    inside = (F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("size"))
+
+    blocks = _blocks(binned, keys, "bin").withColumn("total", F.sum("size").over(Window.partitionBy(*keys)))
+    wanted = blocks.select("*", F.inline(F.array(*sides))).where(inside)
+    for last, digit in enumerate(DIGITS):
+        found = wanted.withColumn("found", _locate(wanted)).select(
+            *keys, *DIGITS[:last], "total", "name", "side", F.col("found.digit").alias(digit),
+            F.col("found.left").alias("pos"), F.col("found.value").alias("value"))
+        if last == len(DIGITS) - 1:
+            break
+        known = [*keys, *DIGITS[:last + 1]]
+        ranks = broadcast_if_small(found.drop("value"))
+        held = binned.join(_as_hinted(ranks, known), known)
+        wanted = _blocks(held, known, DIGITS[last + 1]).join(ranks, known).where(inside)
+
+    ends = {(name, side): F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("value")))
+            for name in probs for side in ("low", "high")}
+    per_key = found.groupBy(*keys, "total").agg(*[end.alias(f"_{name}_{side}") for (name, side), end in ends.items()])
+    between = {}
     for name, h in place.items():
-        exact = F.when(F.col("name") == name,
-                       F.col("low") + (F.col("high") - F.col("low")) * (h - F.col("pos"))).otherwise(exact)
-    found = found.withColumn("quantile", exact)
-    return found.groupBy(*keys).agg(
-        F.max("total").alias("n"),
-        *[F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(name) for name in probs])
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+        between[name] = F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h)))
+    return per_key.select(*keys, F.col("total").alias("n"), *[col.alias(name) for name, col in between.items()])
+
+
+def _as_hinted(ranks: DataFrame, known: list[str]) -> DataFrame:
+    """The distinct bins of ``ranks``, as a table that is broadcast under the same check."""
+    return broadcast_if_small(ranks.select(*known).distinct())
 
 
 def auc_roc(df: DataFrame, label_col: str, score_col: str, bins: int | None = None) -> DataFrame:
     """One row ``n_pos, n_neg, auc``: the chance that a positive outranks a negative,
     ties counting half. Null when a class is missing.
 
-    One pass over ``df`` counts labels per distinct score; the rest works on these
-    counts, kept on the executors meanwhile: negatives below each bin from the bin
-    totals, negatives below each score from a window inside its bin.
+    One pass over ``df`` counts labels per distinct score. The negatives below a score are
+    the sum of four prefix sums over these counts: of the blocks of bins before its own, of
+    the bins before in the block, of the middle digits before in the bin, and of the scores
+    before it among those that share both.
     """
-    counts = (df.select(F.col(label_col).cast("long").alias("label"),
-                        F.col(score_col).cast("double").alias("score"))
+    counts = (df.select(F.col(_name(label_col)).cast("long").alias("label"),
+                        F.col(_name(score_col)).cast("double").alias("score"))
               .where("label is not null and score is not null and not isnan(score)")
               .groupBy("score")
-              .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))).persist()
+              .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+              .withColumn("key", order_key(F.col("score")))
+              .select("pos", "neg", *_digits(F.col("key"), bins))).persist()
+
+    def before(order: str, *keys: str) -> Column:
+        ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("neg").over(ahead), F.lit(0))
+
     try:
-        binned = _with_bins(counts, ["score"], bins).withColumnRenamed("_bin_score", "bin")
-        # One row per bin, that is, per ROWS_PER_BIN rows.
-        edges = binned.groupBy("bin").agg(F.sum("neg").alias("neg")).orderBy("bin").collect()
-        below = accumulate((row["neg"] for row in edges[:-1]), initial=0)
-        before = local_frame(df.sparkSession, [
-            {"bin": row["bin"], "before": n} for row, n in zip(edges, below)], "bin int, before long")
-        lower = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = (binned.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
-                  .join(F.broadcast(before), "bin"))
-        wins = F.col("pos") * (F.col("before") + F.col("lower") + F.col("neg") / 2)
-        n_pos, n_neg, won = ranked.agg(F.coalesce(F.sum("pos"), F.lit(0)),
-                                       F.coalesce(F.sum("neg"), F.lit(0)), F.sum(wins)).first()
+        per_bin = counts.groupBy("bin").agg(F.sum("neg").alias("neg")).withColumn(
+            "block", F.shiftright("bin", BLOCK_BITS))
+        # At most 2 ** (64 - 42 - BLOCK_BITS) blocks at the default number of bins.
+        per_block = per_bin.groupBy("block").agg(F.sum("neg").alias("neg")).select("block", before("block").alias("b0"))
+        bin_start = per_bin.withColumn("b1", before("bin", "block")).join(broadcast_if_small(per_block), "block") \
+            .select("bin", (F.col("b0") + F.col("b1")).alias("bin_start"))
+        middle_start = counts.groupBy("bin", "middle").agg(F.sum("neg").alias("neg")) \
+            .withColumn("b2", before("middle", "bin")).join(broadcast_if_small(bin_start), "bin") \
+            .select("bin", "middle", (F.col("bin_start") + F.col("b2")).alias("middle_start"))
+        ranked = counts.withColumn("b3", before("low", "bin", "middle")).join(middle_start, ["bin", "middle"])
+        wins = F.col("pos") * (F.col("middle_start") + F.col("b3") + F.col("neg") / 2)
+        sums = ranked.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"),
+                          F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"), F.sum(wins).alias("won")).first()
     finally:
         counts.unpersist()
+    n_pos, n_neg, won = sums
     auc = won / (float(n_pos) * n_neg) if n_pos and n_neg else None
     return local_frame(df.sparkSession, [{"n_pos": n_pos, "n_neg": n_neg, "auc": auc}],
                        "n_pos long, n_neg long, auc double")
