@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 # Accepted spellings; Spark's own cast would also take suffixes such as "12d".
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
+_PARTS = r"^[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"     # whole digits, fraction, exponent
+
 
 def to_number(col: Column, dtype: str = "double") -> Column:
     """Number, or null where the text is none."""
@@ -14,6 +16,18 @@ def to_number(col: Column, dtype: str = "double") -> Column:
     return F.when(F.regexp_like(text, F.lit(NUMBER)), text.try_cast(dtype))
 
 
+def decimals(col: Column) -> Column:
+    """How many decimal places a number written as text needs: 2 for ``12.75`` and ``1275e-2``, 0 for
+    ``12.0``, -3 for ``1e3``. Null for zero and for what is no number."""
+    text = F.trim(col.cast("string"))
+    part = lambda n: F.coalesce(F.regexp_extract(text, _PARTS, n), F.lit(""))
+    fraction, digits = part(2), F.rtrim(F.concat(part(1), part(2)), F.lit("0"))
+    exponent = F.coalesce(part(3).try_cast("int"), F.lit(0))
+    zeros = F.length(part(1)) + F.length(fraction) - F.length(digits)
+    known = F.regexp_like(text, F.lit(NUMBER)) & (F.ltrim(digits, F.lit("0")) != "")
+    return F.when(known, F.length(fraction) - zeros - exponent)
+
+
 def no_nan(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 

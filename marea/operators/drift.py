@@ -6,14 +6,15 @@ dropping of extras then are one projection.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (DecimalType, FractionalType, IntegralType, NumericType, StringType, StructField,
-                               StructType)
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegralType, NumericType,
+                               StringType, StructField, StructType, TimestampNTZType, TimestampType)
 
-from marea.functions.numeric import to_number
+from marea.functions.bounded import local_frame
+from marea.functions.numeric import decimals, to_number
 
 # --- Fixed values: expected name -> variants seen in deliveries, in order of preference ---
 SYNONYMS = {
@@ -25,7 +26,8 @@ SYNONYMS = {
 }
 # -------------------------------------------------------------------------------------------
 
-WIDE = "decimal(38,18)"     # holds every long, and fractions by which a number is not whole
+WIDE = "decimal(38,18)"     # holds every long, written as 12.0 or 1e3 too
+PLAIN = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
 @dataclass
@@ -76,19 +78,33 @@ def _quoted(name: str) -> Column:
 
 
 def _cast(col: Column, have, want) -> Column:
-    """The value in the wanted type, or null where it would be another value there: whole
-    numbers may be written ``12.0`` or ``1e3``, but 12.7 is none."""
+    """The value in the wanted type, or null where it would be another value there.
+
+    Whole numbers may be written ``12.0`` or ``1e3``, but 12.7 is none; 12.75 does not fit a
+    type with one decimal, a time of day no date, 5 no boolean. Only a text that becomes a
+    binary fraction takes the nearest one, unless that is zero or endless and the text is not.
+    """
     if have == want:
         return col
-    whole = isinstance(want, IntegralType)
     if isinstance(have, StringType) and isinstance(want, NumericType):
-        if not whole:
-            return to_number(col, want.simpleString())
-        exact = to_number(col, WIDE)
-        return F.when(exact == F.floor(exact), exact.try_cast(want))
-    if whole and isinstance(have, (FractionalType, DecimalType)):
-        return F.when(col == F.floor(col), col.try_cast(want))
-    return col.try_cast(want)
+        return _number_of(col, want)
+    if isinstance(have, StringType) and isinstance(want, DateType):
+        day = col.try_cast(want)
+        return F.when(day.cast("timestamp_ntz") == col.try_cast("timestamp_ntz"), day)
+    cast = col.try_cast(want)
+    if isinstance(have, PLAIN) and isinstance(want, PLAIN):
+        return F.when(cast.try_cast(have) == col, cast)
+    return cast
+
+
+def _number_of(text: Column, want) -> Column:
+    places = decimals(text)     # null for zero, which fits everywhere
+    if isinstance(want, (FloatType, DoubleType)):
+        number = to_number(text, want.simpleString())
+        return F.when(places.isNull() | ((number != 0) & (F.abs(number) < float("inf"))), number)
+    if isinstance(want, DecimalType):
+        return F.when(F.coalesce(places <= want.scale, F.lit(True)), to_number(text, want.simpleString()))
+    return F.when(F.coalesce(places <= 0, F.lit(True)), to_number(text, WIDE).try_cast(want))
 
 
 def _projection(df: DataFrame, expected: StructType, plan: Alignment) -> list[tuple[StructField, Column, Column | None]]:
@@ -112,21 +128,58 @@ def align_schema(df: DataFrame, expected: StructType,
     return df.select(*[col.alias(f.name) for f, col, _ in _projection(df, expected, plan)])
 
 
+def align_and_observe(df: DataFrame, expected: StructType, synonyms: Mapping[str, Sequence[str]] | None = None,
+                      ) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The aligned batch, and its drift report from the same scan.
+
+    The rows and failed casts are counted while the batch passes: write the frame first, or run
+    any other action over all of its rows, then call the second value for the report.
+    """
+    synonyms = SYNONYMS if synonyms is None else synonyms
+    plan = resolve(df.columns, expected, synonyms)
+    cells = _projection(df, expected, plan)
+    counts = _counts(cells)
+    passed = Observation()
+    aligned = df.observe(passed, *counts.values()).select(*[col.alias(f.name) for f, col, _ in cells])
+
+    def report() -> DataFrame:
+        found = {name: passed.get[name] for name in counts}
+        schema = ", ".join(f"`{name}` bigint" for name in counts)
+        return _as_report(local_frame(df.sparkSession, [found], schema), plan, synonyms, _castable(cells))
+
+    return aligned, report
+
+
 def drift_report(df: DataFrame, expected: StructType,
                  synonyms: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """One row: missing and extra columns, known variants, renames done, and the
     values per column that no cast could save."""
     synonyms = SYNONYMS if synonyms is None else synonyms
     plan = resolve(df.columns, expected, synonyms)
-    lost = [(f.name, F.count_if(raw.isNotNull() & col.isNull()))
-            for f, col, raw in _projection(df, expected, plan) if raw is not None]
+    cells = _projection(df, expected, plan)
+    return _as_report(df.agg(*_counts(cells).values()), plan, synonyms, _castable(cells))
+
+
+def _castable(cells: list[tuple[StructField, Column, Column | None]]) -> dict[str, str]:
+    """Names of the columns where a cast could fail, and of their counts."""
+    return {f.name: f"lost_{n}" for n, (f, _, raw) in enumerate(cells) if raw is not None}
+
+
+def _counts(cells: list[tuple[StructField, Column, Column | None]]) -> dict[str, Column]:
+    lost = {f"lost_{n}": F.count_if(raw.isNotNull() & col.isNull()).alias(f"lost_{n}")
+            for n, (_, col, raw) in enumerate(cells) if raw is not None}
+    return {"n_rows": F.count(F.lit(1)).alias("n_rows"), **lost}
+
+
+def _as_report(counts: DataFrame, plan: Alignment, synonyms: Mapping[str, Sequence[str]],
+               castable: dict[str, str]) -> DataFrame:
     texts = lambda names: F.array(*map(F.lit, names)).cast("array<string>")
     table = lambda pairs, kind: F.create_map(*[c for k, v in pairs for c in (F.lit(k), v)]).cast(kind)
-    return df.agg(F.count("*").alias("n_rows"), *[n.alias(f"_lost_{c}") for c, n in lost]).select(
+    return counts.select(
         "n_rows", texts(plan.missing).alias("missing_columns"), texts(plan.extra).alias("extra_columns"),
         table([(k, texts(v)) for k, v in synonyms.items()], "map<string,array<string>>").alias("name_mapping_used"),
         table([(k, F.lit(v)) for k, v in plan.renamed.items()], "map<string,string>").alias("renames_applied"),
-        table([(c, _quoted(f"_lost_{c}")) for c, _ in lost], "map<string,bigint>").alias("failed_casts"))
+        table([(c, F.col(n)) for c, n in castable.items()], "map<string,bigint>").alias("failed_casts"))
 
 
 def drift_rows(report: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (DecimalType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
 from marea.functions.partitions import spread
@@ -96,7 +96,8 @@ def part_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DRIFT_EXPECTED = StructType([
     StructField("customer_id", LongType()), StructField("c_acctbal", DoubleType()),
-    StructField("c_mktsegment", StringType()), StructField("c_nationkey", IntegerType())])
+    StructField("c_mktsegment", StringType()), StructField("c_nationkey", IntegerType()),
+    StructField("credit", DecimalType(5, 1)), StructField("rate", DecimalType(5, 1)), StructField("units", IntegerType())])
 
 
 def drifted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,4 +109,9 @@ def drifted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("c_acctbal"),
         # Whole numbers as text: plain, with a fraction of zero, with an exponent, and not whole.
         F.concat("c_nationkey", F.element_at(F.array(*map(F.lit, ("", ".0", "e2", ".7"))), (F.col("c_custkey") % 4 + 1).cast("int")))
-        .alias("c_nationkey"), F.lit("2024-01").alias("delivery"))
+        .alias("c_nationkey"),
+        # Values that a plain cast would round, to 12.8 and to 0, without a word.
+        F.when(F.col("c_custkey") % 3 == 0, "12.75").otherwise("1250e-2").alias("credit"),
+        F.when(F.col("c_custkey") % 5 == 0, 12.75).otherwise(0.1).alias("rate"),
+        F.when(F.col("c_custkey") % 7 == 0, "1e-20").otherwise("0e9").alias("units"),
+        F.lit("2024-01").alias("delivery"))

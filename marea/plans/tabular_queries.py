@@ -306,13 +306,21 @@ def gold_report(spark, sf_dir):
 # --- drift ---
 
 def schema_align(spark, sf_dir):
-    return drift.align_schema(drifted_customers(spark, sf_dir), DRIFT_EXPECTED)
+    aligned = drift.align_schema(drifted_customers(spark, sf_dir), DRIFT_EXPECTED)
+    return aligned.withColumns({c: F.col(c).cast("double") for c in ("credit", "rate")})
 
 
 def drift_report(spark, sf_dir):
     return drift.drift_rows(drift.drift_report(drifted_customers(spark, sf_dir), DRIFT_EXPECTED))
 
 
+def drift_observed(spark, sf_dir):
+    """The drift report of a batch, counted while the aligned batch was written."""
+    aligned, report = drift.align_and_observe(drifted_customers(spark, sf_dir), DRIFT_EXPECTED)
+    write_layer(aligned, scratch_path(spark, "layers"), "silver", "aligned")
+    return drift.drift_rows(report())
+
+
 # --- sources and sinks ---
 
 def whole_texts(spark, sf_dir):
@@ -360,5 +368,5 @@ QUERIES = {f.__name__: f for f in (
     encode_features, encode_sparse, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
     row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score, model_chain,
     champion_run, latest_runs, run_algorithms, latest_version, tag_version, score_report, class_report,
-    gold_report, schema_align, drift_report, csv_roundtrip, layer_roundtrip,
+    gold_report, schema_align, drift_report, drift_observed, csv_roundtrip, layer_roundtrip,
     whole_texts, segment_groups, drift_report_json)}
