@@ -35,11 +35,12 @@ def binned_values(df: DataFrame, columns: list[str], group_col: str, bins: int |
 
     ``bins`` is the number of bins between a power of two and the next in the first count.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(_name(c)).cast("double").alias("value"))
-                      for c in columns])
+    # The key is made before the rows are spread: after that it is a value, not an expression to copy.
+    numbers = {c: F.col(_name(c)).cast("double") for c in columns}
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value"), order_key(v).alias("key"))
+                      for c, v in numbers.items()])
     return (df.where(F.col(_name(group_col)).isNotNull()).select(F.col(_name(group_col)), F.inline(cells))
-            .where(F.col("value").isNotNull() & ~F.isnan("value"))
-            .withColumn("key", order_key(F.col("value")))
+            .where(F.col("key").isNotNull())
             .select("column", group_col, *_digits(F.col("key"), bins), "value"))
 
 
