@@ -1,10 +1,19 @@
-"""Runs and model versions as plain tables."""
+"""Runs and model versions as plain tables.
+
+On storage both are Parquet folders with one partition per experiment or model name. A write
+replaces the partitions it touches as a whole and leaves the files of all others alone; rows
+are found again by their key, so that a repeated write changes nothing. Two writers of one
+experiment or name at the same time need a table format with transactions instead.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
+
+from marea.session import exists, materialized
 
 RUN_SCHEMA = ("experiment string, run_id string, run_name string, start_time timestamp, status string, "
               "params map<string,string>, metrics map<string,double>, tags map<string,string>, "
@@ -84,3 +93,50 @@ def tag_version(versions: DataFrame, target: DataFrame, tags: dict[str, str]) ->
     merged = F.map_zip_with(old, new, lambda key, was, now: F.coalesce(now, was))
     return (versions.join(chosen, ["name", "version"], "left")
             .withColumn("tags", F.when(F.col("_hit"), merged).otherwise(F.col("tags"))).drop("_hit"))
+
+
+def stored(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """A table on storage, empty where nothing was written yet."""
+    wanted = StructType.fromDDL(schema)
+    if not exists(spark, root):
+        return spark.createDataFrame([], wanted)
+    return spark.read.schema(wanted).parquet(root).select(*wanted.names)
+
+
+def _upsert(rows: DataFrame, root: str, schema: str, part: str, keys: list[str]) -> None:
+    """Add rows, or replace those with the same key. One row per key is kept."""
+    wanted = StructType.fromDDL(schema)
+    new = materialized(rows.select(*wanted.names).dropDuplicates(keys))
+    if not new.where(F.col(part).isNull() | (F.col(part) == "")).isEmpty():
+        raise ValueError(f"{part!r} may be neither null nor empty")
+    old = stored(new.sparkSession, root, schema)
+    kept = old.join(new.select(part).distinct(), part, "left_semi").join(new.select(*keys), keys, "left_anti")
+    whole = materialized(kept.select(*wanted.names).unionByName(new))      # read before it is replaced
+    (whole.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(root))
+
+
+def stored_runs(spark: SparkSession, root: str) -> DataFrame:
+    return stored(spark, root, RUN_SCHEMA)
+
+
+def log_runs(runs: DataFrame, root: str) -> None:
+    """Append runs to the table at ``root``; a run logged again replaces its earlier row."""
+    _upsert(runs, root, RUN_SCHEMA, "experiment", ["experiment", "run_id"])
+
+
+def stored_versions(spark: SparkSession, root: str) -> DataFrame:
+    return stored(spark, root, VERSION_SCHEMA)
+
+
+def save_versions(versions: DataFrame, root: str) -> None:
+    """Append versions to the table at ``root``; a version saved again replaces its earlier row."""
+    _upsert(versions, root, VERSION_SCHEMA, "name", ["name", "version"])
+
+
+def set_tags(spark: SparkSession, root: str, target: DataFrame, tags: dict[str, str]) -> None:
+    """Set tags on the stored versions in ``target`` (``name, version``), as ``tag_version`` does.
+    Only partitions of names in ``target`` are read and written."""
+    chosen = materialized(target.select("name", "version").distinct())
+    own = stored_versions(spark, root).join(chosen, ["name", "version"], "left_semi")
+    save_versions(tag_version(own, chosen, tags), root)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from marea.functions.numeric import tidy
 from marea.functions.partitions import spread
 from marea.functions.text import clean_label
-from marea.operators import drift, metrics, models, prepare, profile, registry, reports, split
+from marea.operators import dictionary, drift, metrics, models, prepare, profile, registry, reports, split
 from marea.operators.ordered import auc_roc as auc_of
 from marea.plans.inputs import (CATEGORICAL, DRIFT_EXPECTED, NUMERIC, churn_clean, churn_raw, churn_scored,
                                 drifted_customers, event_runs, part_versions, table)
@@ -105,6 +105,15 @@ def encode_sparse(spark, sf_dir):
     return prepare.sparse_features(encoder, clean).select(ID, *features, LABEL)
 
 
+def encode_dictionary(spark, sf_dir):
+    """The same features by a dictionary table, as one row per feature that is not zero."""
+    clean = churn_clean(spark, sf_dir)
+    encoder = dictionary.fit_dictionary(clean, ID, LABEL, CATEGORICAL, NUMERIC)
+    cells = encoder.encode(clean).select(ID, F.inline(F.arrays_zip("features.indices", "features.values")))
+    cells = cells.toDF(ID, "index", "value").withColumn("value", tidy(F.col("value"), 4)).where("value <> 0")
+    return cells.join(encoder.feature_names(), "index").select(ID, F.col("name").alias("feature"), "value")
+
+
 def sanitize_columns(spark, sf_dir):
     """The name rules over every label that an encoder would turn into a column."""
     part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
@@ -283,6 +292,35 @@ def tag_version(spark, sf_dir):
     return tagged.select("name", "version", F.explode("tags").alias("key", "value"))
 
 
+def stored_versions(spark, sf_dir):
+    """``tag_version`` on a stored table: versions written in two parts that overlap, tags set twice."""
+    root = scratch_path(spark, "versions")
+    versions = part_versions(spark, sf_dir).withColumn("artifact_uri", F.lit(None).cast("string"))
+    registry.save_versions(versions.where(F.col("version").cast("int") % 2 == 0), root)
+    registry.save_versions(versions, root)
+    for _ in range(2):
+        registry.set_tags(spark, root, registry.latest_version(registry.stored_versions(spark, root)), NEW_TAGS)
+    return registry.stored_versions(spark, root).select("name", "version", F.explode("tags").alias("key", "value"))
+
+
+def stored_runs(spark, sf_dir):
+    """The best runs of a stored table: runs logged in two parts, some of them first with a
+    better metric than they end with."""
+    root = scratch_path(spark, "runs")
+    events = event_runs(spark, sf_dir)
+    runs = events.select(
+        "experiment", F.col("run_id").cast("string").alias("run_id"), F.lit("run").alias("run_name"), "start_time",
+        F.lit("FINISHED").alias("status"), F.lit(None).cast("map<string,string>").alias("params"),
+        F.create_map(F.lit("auc"), "auc").alias("metrics"), F.lit(None).cast("map<string,string>").alias("tags"),
+        F.lit(None).cast("string").alias("artifact_uri"))
+    early = runs.where(F.col("run_id").cast("long") % 2 == 0).withColumn("status", F.lit("RUNNING")).withColumn(
+        "metrics", F.transform_values("metrics", lambda name, value: value + 1000))
+    registry.log_runs(early, root)
+    registry.log_runs(runs, root)
+    found = registry.stored_runs(spark, root).where("status = 'FINISHED'").withColumn("run_id", F.col("run_id").cast("long"))
+    return registry.champion_run(found, F.col("metrics")["auc"]).select("experiment", "run_id", "metric", "model_uri")
+
+
 # --- reports ---
 
 def score_report(spark, sf_dir):
@@ -365,8 +403,8 @@ def layer_roundtrip(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     table_shape, profile_columns, duplicate_rows, class_balance, event_balance, category_by_target,
     numeric_by_target, boxplot_stats, coerce_numeric, impute_mean, target_encode, clean_data, standard_scale,
-    encode_features, encode_sparse, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
+    encode_features, encode_sparse, encode_dictionary, sanitize_columns, hash_sample, hash_sample_head, stratified_split, class_weights,
     row_weights, classification_metrics, auc_roc, training_rows, train_logistic, train_forest, run_log, batch_score, model_chain,
-    champion_run, latest_runs, run_algorithms, latest_version, tag_version, score_report, class_report,
+    champion_run, latest_runs, run_algorithms, latest_version, tag_version, stored_versions, stored_runs, score_report, class_report,
     gold_report, schema_align, drift_report, drift_observed, csv_roundtrip, layer_roundtrip,
     whole_texts, segment_groups, drift_report_json)}

@@ -72,6 +72,12 @@ def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = (
         paths.remove(text)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def release(spark: SparkSession) -> None:
     """Have the driver let go of what finished jobs left: broadcasts, shuffle files and plans
     that nothing refers to any more. Spark removes them once the driver's garbage collector
