@@ -101,7 +101,8 @@ def _number_of(text: Column, want) -> Column:
     places = decimals(text)     # null for zero, which fits everywhere
     if isinstance(want, (FloatType, DoubleType)):
         number = to_number(text, want.simpleString())
-        return F.when(places.isNull() | ((number != 0) & (F.abs(number) < float("inf"))), number)
+        # In this order only zeros and endless values have their text looked at.
+        return F.when(((number != 0) & (F.abs(number) < float("inf"))) | places.isNull(), number)
     if isinstance(want, DecimalType):
         return F.when(F.coalesce(places <= want.scale, F.lit(True)), to_number(text, want.simpleString()))
     return F.when(F.coalesce(places <= 0, F.lit(True)), to_number(text, WIDE).try_cast(want))
@@ -138,9 +139,15 @@ def align_and_observe(df: DataFrame, expected: StructType, synonyms: Mapping[str
     synonyms = SYNONYMS if synonyms is None else synonyms
     plan = resolve(df.columns, expected, synonyms)
     cells = _projection(df, expected, plan)
-    counts = _counts(cells)
+    # Each value is cast once, beside whether that lost it; the counts and the batch both read the result.
+    cast = df.select(*[col.alias(f"cell_{n}") for n, (_, col, _) in enumerate(cells)],
+                     *[raw.isNotNull().alias(f"had_{n}") for n, (_, _, raw) in enumerate(cells) if raw is not None])
+    lost = {f"lost_{n}": F.count_if(F.col(f"had_{n}") & F.col(f"cell_{n}").isNull()).alias(f"lost_{n}")
+            for n, (_, _, raw) in enumerate(cells) if raw is not None}
+    counts = {"n_rows": F.count(F.lit(1)).alias("n_rows"), **lost}
     passed = Observation()
-    aligned = df.observe(passed, *counts.values()).select(*[col.alias(f.name) for f, col, _ in cells])
+    aligned = cast.observe(passed, *counts.values()).select(
+        *[F.col(f"cell_{n}").alias(f.name) for n, (f, _, _) in enumerate(cells)])
 
     def report() -> DataFrame:
         found = {name: passed.get[name] for name in counts}

@@ -44,6 +44,22 @@ def test_decimals(spark):
     assert [r[0] for r in df.select(decimals(F.col("t"))).collect()] == list(texts.values())
 
 
+def test_decimals_of_odd_spellings(spark):
+    texts = {"12\n": 0, "1.5\r\n": 1, "+.5": 1, "-0012.3400E-2": 4, "1E+3": -3, "1e99999999999": 0, "12\n\n": None,
+             "1.2.3": None, "1e2e3": None, "+-5": None, "e5": None, "1e": None, ".": None, "": None, " 7 ": 0}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(decimals(F.col("t"))).collect()] == list(texts.values())
+
+
+def test_no_match_per_part_and_each_value_cast_once(spark):
+    df = spark.createDataFrame([("1.5", "2")], "a string, b string")
+    plan = df.select(decimals(F.col("a")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 0 and plan.count("RLIKE") <= 1
+    aligned, _ = drift.align_and_observe(df, StructType.fromDDL("a decimal(5,1), b int"))
+    plan = aligned._jdf.queryExecution().optimizedPlan().toString()
+    assert "CollectMetrics" in plan and "RLIKE" not in plan.split("CollectMetrics")[0] + plan.split("CollectMetrics")[1].split("\n")[0]
+
+
 @pytest.mark.parametrize("rows", [0, 1000])
 def test_one_scan_gives_batch_and_report(spark, rows):
     seen = spark.sparkContext.accumulator(0)
