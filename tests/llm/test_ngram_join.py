@@ -120,3 +120,19 @@ def test_copies_in_many_tasks_and_small_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert got == brute(rows, 3, 90)
+
+
+def test_few_comparisons_for_a_group_of_near_copies(spark, monkeypatch):
+    rng = random.Random(12)
+    text = " ".join(f"w{n}" for n in range(200))
+    rows = [(i, edited(rng, text, 1)) for i in range(120)]
+    compared, asked = ngram_join.compared, []
+
+    def counted(pairs, *args):
+        asked.append(pairs.count())
+        return compared(pairs, *args)
+
+    monkeypatch.setattr(ngram_join, "compared", counted)
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert {r["component_id"] for r in found} == {0}
+    assert sum(asked) <= len(rows) * (len(rows) - 1) // 4      # half of all pairs
