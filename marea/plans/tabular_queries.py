@@ -14,8 +14,8 @@ from marea.operators.ordered import auc_roc as auc_of
 from marea.plans.inputs import (CATEGORICAL, DRIFT_EXPECTED, NUMERIC, churn_clean, churn_raw, churn_scored,
                                 drifted_customers, event_runs, part_versions, table)
 from marea.session import materialized, scratch_path
-from marea.sources.readers import local_rows, read_csv, read_table, read_whole_text
-from marea.sources.writers import write_csv, write_json, write_layer
+from marea.sources.readers import local_rows, read_csv, read_table, read_texts
+from marea.sources.writers import write_csv, write_json, write_layer, write_texts
 
 ID, LABEL = "customer_id", "churn"
 EXPERIMENT = "churn"
@@ -364,8 +364,8 @@ def drift_observed(spark, sf_dir):
 def whole_texts(spark, sf_dir):
     """Every page as a file of its own, read back as one row per file."""
     path = scratch_path(spark, "pages-text")
-    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
-    return read_whole_text(spark, path).select(F.col("page_id").cast("long").alias("page_id"), F.col("value").alias("text"))
+    write_texts(table(spark, sf_dir, "pages"), path, "page_id", "html")
+    return read_texts(spark, path, "page_id").select(F.col("page_id").cast("long").alias("page_id"), F.col("value").alias("text"))
 
 
 def segment_groups(spark, sf_dir):
