@@ -209,6 +209,7 @@ def run_log(spark, sf_dir):
     """Both classifiers on one split: parameters, metrics and tags as rows. A metric's value
     depends on the fit, so it is only held to its range."""
     train, test, encoder = _training(spark, sf_dir)
+    train, test = materialized(train), materialized(test)     # each fit reads them several times
     runs = None
     for classifier in (models.logistic(), models.forest()):
         row = models.train_and_log(classifier, train, test, encoder.feature_names, LABEL, EXPERIMENT)[1]
