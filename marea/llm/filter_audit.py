@@ -14,8 +14,11 @@ of documents for each set of failed filters in a part of the table: documents ar
 counted by these sets first, so the orders multiply a few rows and not the documents.
 
 What is shuffled: each shard's distinct words, twice, its compressed rows once, and a
-digest per document. A shard has at most 8 million words, unless one document alone has
-more. Copies and repeated rows collapse map-side before they meet.
+digest per document. A shard ends with the document that brings it to a million words or
+8 MB of text, and keeps no batch of texts longer than it reads it; so a task's memory is
+bounded but for one document, whose words are read in pieces and whose distinct words are
+held. A range of the dictionary holds each of its words once, however many shards share
+them. Copies and repeated rows collapse map-side before they meet.
 
 Defined cases: a null text is an empty one, which fails only the filter for short texts
 and, as a copy, that for repeated texts; a null part is the empty one; a document repeats
@@ -27,6 +30,7 @@ are read whole; columns of any other name are ignored; an empty table gives no r
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,7 +45,10 @@ from marea.functions.bounded import broadcast_if_small
 from marea.llm.common import column, documents
 from marea.session import materialized
 
-SHARD_WORDS = 8_000_000
+SHARD_WORDS = 1_000_000
+SHARD_BYTES = 8 * 1024 * 1024       # of text
+ROW_BYTES = 256                     # counted for a document besides its text
+PIECE_BYTES = 1024 * 1024           # of a long text split into words at once
 RANGE_BYTES = 16 * 1024 * 1024      # of text for each range of the dictionary
 
 # --- Fixed values -----------------------------------------------------------
@@ -64,6 +71,18 @@ def unpacked(data: bytes, count: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, count).T).view(kind).reshape(count)
 
 
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A text in pieces that end between words, of ``size`` bytes or up to the next gap."""
+    begin = 0
+    while len(text) - begin > size and (gap := GAP.search(text, begin + size)):
+        yield text[begin:gap.start()]
+        begin = gap.end()
+    yield text[begin:]
+
+
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
@@ -78,16 +97,23 @@ class _Shard:
         self.terms: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.rows: list[pa.StructArray] = []
-        self.size = 0
+        self.size = self.bytes = 0
 
     def add(self, text: bytes) -> None:
-        found = text.split()
-        cells = Counter(found)
+        cells: Counter[bytes] = Counter()
+        for piece in pieces(text):
+            found = piece.split()
+            cells.update(found)
+            self.size += len(found)
+        self.bytes += len(text) + ROW_BYTES
         terms = np.fromiter(map(self.words.__getitem__, cells), np.uint32, len(cells))
         order = np.argsort(terms)
         self.terms.append(terms[order])
         self.counts.append(np.fromiter(cells.values(), np.uint32, len(cells))[order])
-        self.size += len(found)
+
+    def add_rows(self, rows: pa.StructArray, begin: int, end: int) -> None:
+        """Keep rows as copies: a slice would hold on to its whole batch, texts included."""
+        self.rows.append(rows.take(pa.array(np.arange(begin, end))))
 
     def matrix(self) -> list[bytes]:
         """Row starts, word numbers as differences, and counts."""
@@ -110,7 +136,7 @@ SHARD_NAMES = ["shard", "rows", "starts", "terms", "counts", "range", "n", "word
 WORD_SCHEMA = "range int, shard long, n int, words binary, numbers binary"
 
 
-def build_shards(attributes: int, shard_words: int, ranges: int):
+def build_shards(attributes: int, shard_words: int, ranges: int, shard_bytes: int = SHARD_BYTES):
     """Task function: attributes and a text to shards. A shard is one row with its matrix and
     its documents' attributes, followed by its words, a row per range of the dictionary."""
 
@@ -140,22 +166,24 @@ def build_shards(attributes: int, shard_words: int, ranges: int):
             begin = 0
             for n, text in enumerate(batch.column(attributes)):
                 shard.add(text.as_py() or b"")
-                if shard.size >= shard_words:
-                    shard.rows.append(rows.slice(begin, n + 1 - begin))
+                if shard.size >= shard_words or shard.bytes >= shard_bytes:
+                    shard.add_rows(rows, begin, n + 1)
                     yield from shard_batches(shard, place << 32 | made)
                     made, shard, begin = made + 1, _Shard(), n + 1
             if begin < batch.num_rows:
-                shard.rows.append(rows.slice(begin))
+                shard.add_rows(rows, begin, batch.num_rows)
         if shard.rows:
             yield from shard_batches(shard, place << 32 | made)
 
     return run
 
 
-def range_words(table: pa.Table) -> tuple[list[list[bytes]], list[bytes]]:
-    """The words of each shard in one range, and all of them in order."""
-    per_shard = [blob.as_py().split(b" ") for blob in table.column("words")]
-    return per_shard, sorted(set().union(*per_shard))
+def range_words(table: pa.Table) -> list[bytes]:
+    """The words of one range in order, those of its shards added one shard at a time."""
+    known: set[bytes] = set()
+    for blob in table.column("words"):
+        known.update(blob.as_py().split(b" "))
+    return sorted(known)
 
 
 def number_range(ranges: int):
@@ -163,9 +191,9 @@ def number_range(ranges: int):
 
     def run(table: pa.Table) -> pa.Table:
         own = table.column("range")[0].as_py()
-        per_shard, ordered = range_words(table)
-        place = {word: n * ranges + own for n, word in enumerate(ordered)}
-        ids = [packed(np.fromiter(map(place.__getitem__, words), np.int64, len(words))) for words in per_shard]
+        place = {word: n * ranges + own for n, word in enumerate(range_words(table))}
+        ids = [packed(np.fromiter(map(place.__getitem__, blob.as_py().split(b" ")), np.int64, count))
+               for blob, count in zip(table.column("words"), table.column("n").to_pylist())]
         return pa.table([table.column("shard"), table.column("n"), table.column("numbers"), pa.array(ids, pa.binary())],
                         names=["shard", "n", "numbers", "ids"])
 
@@ -176,7 +204,7 @@ def list_range(ranges: int):
     """Group function: the words of one range of the dictionary with their ids."""
 
     def run(table: pa.Table) -> pa.Table:
-        _, ordered = range_words(table)
+        ordered = range_words(table)
         ids = np.arange(len(ordered), dtype=np.int64) * ranges + table.column("range")[0].as_py()
         return pa.table([pa.array(ordered, pa.binary()), pa.array(ids)], names=["word", "term"])
 
@@ -209,7 +237,7 @@ def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS,
     attributes = [f for f in rows.schema if f.name != text]
     size = rows.agg(F.coalesce(F.sum(F.octet_length(column(rows, text)).cast("long")), F.lit(0))).first()[0]
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(4 * partitions, size // range_bytes)
+    ranges = max(partitions, -(-size // range_bytes))
     ordered = rows.select(*[column(rows, f.name) for f in attributes], column(rows, text).cast("binary"))
     shards = materialized(ordered.mapInArrow(
         build_shards(len(attributes), shard_words, ranges),

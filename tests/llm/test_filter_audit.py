@@ -1,7 +1,10 @@
+import io
+import tracemalloc
 from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marea.llm import filter_audit as audit
@@ -93,3 +96,87 @@ def test_long_text_and_empty_table(spark):
     assert [r["fails"] for r in flags.collect()] == [2]      # 977 words and two more, over and over
     none = audit.failed_filters(empty(spark))
     assert audit.audit(audit.failure_counts(none, spark.createDataFrame([], "doc_id long, quality int, toxic int"))).count() == 0
+
+
+def peak_mb(action):
+    tracemalloc.start()
+    try:
+        action()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+class OneTask:
+    @classmethod
+    def get(cls):
+        return cls
+
+    @staticmethod
+    def partitionId():
+        return 3
+
+
+def streamed(ids_and_texts, batch_rows):
+    """Record batches as a Python worker gets them: the columns of each share one buffer."""
+    sink = pa.BufferOutputStream()
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
+    with pa.ipc.new_stream(sink, schema) as out:
+        for at in range(0, len(ids_and_texts), batch_rows):
+            ids, texts = zip(*ids_and_texts[at:at + batch_rows])
+            out.write_batch(pa.record_batch([pa.array(ids), pa.array(texts, pa.binary())], schema=schema))
+    return pa.ipc.open_stream(pa.PythonFile(io.BytesIO(sink.getvalue().to_pybytes()), mode="r"))
+
+
+def test_a_shard_keeps_no_texts(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext", OneTask)
+    held, start = [], pa.total_allocated_bytes()
+
+    def batches():
+        for batch in streamed([(n, b"ab " * 300_000) for n in range(40)], 4):     # 36 MB, 3.6 MB a batch
+            held.append(pa.total_allocated_bytes() - start)
+            yield batch
+            del batch
+
+    shards = [b for b in audit.build_shards(1, 10 ** 9, 4, 10 ** 9)(batches()) if b.column("starts")[0].is_valid]
+    assert [r["doc_id"] for r in shards[0].column("rows")[0].as_py()] == list(range(40)) and len(shards) == 1
+    assert max(held) < 15e6
+
+
+def test_shards_end_at_their_words_and_bytes(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext", OneTask)
+
+    def rows_of_shards(texts):
+        found = audit.build_shards(1, audit.SHARD_WORDS, 4)(iter(streamed(list(enumerate(texts)), 7)))
+        return [[r["doc_id"] for r in b.column("rows")[0].as_py()] for b in found if b.column("starts")[0].is_valid]
+
+    assert rows_of_shards([b"a " * 300_000] * 10) == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]]
+    assert rows_of_shards([b"a" * 3_000_000 + b" b"] * 7) == [[0, 1, 2], [3, 4, 5], [6]]
+    assert rows_of_shards([b"a", b"b " * 2_000_000, b"c"]) == [[0, 1], [2]]
+    assert max(map(len, rows_of_shards([b"", None] * 25_000))) < 40_000
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_pieces_hold_the_same_words(size):
+    for text in [b"", b" ", b"one", b"one two\tthree\n\n four\x0b\x0cfive \xc2\xa0six", b"  a bb  ccc dddd ", LONG.encode()[:5000]]:
+        assert [w for p in audit.pieces(text, size) for w in p.split()] == text.split()
+
+
+def test_a_long_text_is_split_in_pieces():
+    text, shard = b"some words " * 1_500_000, audit._Shard()
+    assert peak_mb(lambda: shard.add(text)) < 40
+    assert (shard.size, sorted(shard.words), shard.counts[0].tolist()) == (3_000_000, [b"some", b"words"], [1_500_000] * 2)
+
+
+def test_a_range_holds_shared_words_once():
+    words = [b"w%d" % n for n in range(20_000)]
+    rows = [(0, shard, words[shard:]) for shard in range(40)]
+    table = pa.table({"range": pa.array([r for r, _, _ in rows], pa.int32()), "shard": [s for _, s, _ in rows],
+                      "n": pa.array([len(w) for _, _, w in rows], pa.int32()),
+                      "words": pa.array([b" ".join(w) for _, _, w in rows], pa.binary()),
+                      "numbers": pa.array([b""] * len(rows), pa.binary())})
+    found = []
+    assert peak_mb(lambda: found.append(audit.number_range(4)(table))) < 12
+    place = {w: 4 * n for n, w in enumerate(sorted(words))}
+    for n, ids in zip(found[0].column("n").to_pylist(), found[0].column("ids").to_pylist()):
+        assert audit.unpacked(ids, n, np.int64).tolist() == [place[w] for w in words[20_000 - n:]]
