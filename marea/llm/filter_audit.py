@@ -15,8 +15,8 @@ counted by these sets first, so the orders multiply a few rows and not the docum
 
 What is shuffled: each shard's distinct words, twice, its compressed rows once, and a
 digest per document. A shard ends with the document that brings it to a million words or
-8 MB of text, and keeps no batch of texts longer than it reads it; so a task's memory is
-bounded but for one document, whose words are read in pieces and whose distinct words are
+8 MB of text, and texts come in batches of 4 MB, none kept longer than it is read; so a task's
+memory is bounded but for one document, whose words are read in pieces and whose distinct words are
 held. A range of the dictionary holds each of its words once, however many shards share
 them. Copies and repeated rows collapse map-side before they meet.
 
@@ -34,6 +34,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import permutations
 
 import numpy as np
@@ -49,6 +50,7 @@ SHARD_WORDS = 1_000_000
 SHARD_BYTES = 8 * 1024 * 1024       # of text
 ROW_BYTES = 256                     # counted for a document besides its text
 PIECE_BYTES = 1024 * 1024           # of a long text split into words at once
+BATCH_BYTES = 4 * 1024 * 1024       # of texts handed to a task at once
 RANGE_BYTES = 16 * 1024 * 1024      # of text for each range of the dictionary
 
 # --- Fixed values -----------------------------------------------------------
@@ -226,6 +228,18 @@ def with_global_terms(shard: pa.Table, words: pa.Table) -> pa.Table:
                      pa.array(counts, pa.binary())], names=["shard", "rows", "starts", "terms", "counts"])
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run inside hands rows to Python tasks in batches that end once they take ``size`` bytes."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS,
                 range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """The document-term matrix of ``rows`` and its dictionary.
@@ -239,10 +253,11 @@ def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS,
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(partitions, -(-size // range_bytes))
     ordered = rows.select(*[column(rows, f.name) for f in attributes], column(rows, text).cast("binary"))
-    shards = materialized(ordered.mapInArrow(
-        build_shards(len(attributes), shard_words, ranges),
-        f"shard long, rows array<{StructType(attributes).simpleString()}>, starts binary, terms binary, counts binary, "
-        + WORD_SCHEMA.replace("shard long, ", "")))
+    with arrow_batches(rows.sparkSession, BATCH_BYTES):
+        shards = materialized(ordered.mapInArrow(
+            build_shards(len(attributes), shard_words, ranges),
+            f"shard long, rows array<{StructType(attributes).simpleString()}>, starts binary, terms binary, counts binary, "
+            + WORD_SCHEMA.replace("shard long, ", "")))
     words = shards.where(F.col("range").isNotNull()).select("range", "shard", "n", "words", "numbers").groupBy("range")
     numbered = words.applyInArrow(number_range(ranges), "shard long, n int, numbers binary, ids binary")
     local = shards.where(F.col("range").isNull()).select("shard", "rows", "starts", "terms", "counts")

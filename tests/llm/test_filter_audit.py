@@ -180,3 +180,19 @@ def test_a_range_holds_shared_words_once():
     place = {w: 4 * n for n, w in enumerate(sorted(words))}
     for n, ids in zip(found[0].column("n").to_pylist(), found[0].column("ids").to_pylist()):
         assert audit.unpacked(ids, n, np.int64).tolist() == [place[w] for w in words[20_000 - n:]]
+
+
+def test_tasks_get_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    frame = spark.range(0, 200, 1, 1).selectExpr("repeat('some words ', 10000) as text")       # 22 MB
+    with audit.arrow_batches(spark, audit.BATCH_BYTES):
+        found = [r["size"] for r in frame.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 20e6 and max(found) < 5e6
+    assert spark.conf.get(setting) == before
+    assert audit.matrix_rows(audit.term_matrix(frame.selectExpr("1L as doc_id", "text"), "text")[0]).count() == 200
+    assert spark.conf.get(setting) == before
