@@ -130,15 +130,22 @@ def streamed(ids_and_texts, batch_rows):
 
 def test_a_shard_keeps_no_texts(monkeypatch):
     monkeypatch.setattr("pyspark.TaskContext", OneTask)
-    held, start = [], pa.total_allocated_bytes()
+    held = []
 
     def batches():
-        for batch in streamed([(n, b"ab " * 300_000) for n in range(40)], 4):     # 36 MB, 3.6 MB a batch
-            held.append(pa.total_allocated_bytes() - start)
+        reader = streamed([(n, (b"a" * 99 + b" ") * 9_000) for n in range(40)], 4)     # 36 MB, 3.6 MB a batch
+        start = tracemalloc.get_traced_memory()[0]
+        for batch in reader:
+            held.append(tracemalloc.get_traced_memory()[0] - start)
             yield batch
             del batch
 
-    shards = [b for b in audit.build_shards(1, 10 ** 9, 4, 10 ** 9)(batches()) if b.column("starts")[0].is_valid]
+    tracemalloc.start()
+    try:
+        found = list(audit.build_shards(1, 10 ** 9, 4, 10 ** 9)(batches()))
+    finally:
+        tracemalloc.stop()
+    shards = [b for b in found if b.column("starts")[0].is_valid]
     assert [r["doc_id"] for r in shards[0].column("rows")[0].as_py()] == list(range(40)) and len(shards) == 1
     assert max(held) < 15e6
 
