@@ -34,7 +34,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import permutations
 
 import numpy as np
@@ -44,7 +43,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from marea.functions.bounded import broadcast_if_small
 from marea.llm.common import column, documents
-from marea.session import materialized
+from marea.session import arrow_batches, materialized
 
 SHARD_WORDS = 1_000_000
 SHARD_BYTES = 8 * 1024 * 1024       # of text
@@ -228,18 +227,6 @@ def with_global_terms(shard: pa.Table, words: pa.Table) -> pa.Table:
                      pa.array(counts, pa.binary())], names=["shard", "rows", "starts", "terms", "counts"])
 
 
-@contextmanager
-def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
-    """What is run inside hands rows to Python tasks in batches that end once they take ``size`` bytes."""
-    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
-
-
 def term_matrix(rows: DataFrame, text: str, shard_words: int = SHARD_WORDS,
                 range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """The document-term matrix of ``rows`` and its dictionary.
