@@ -136,3 +136,65 @@ def test_few_comparisons_for_a_group_of_near_copies(spark, monkeypatch):
     found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
     assert {r["component_id"] for r in found} == {0}
     assert sum(asked) <= len(rows) * (len(rows) - 1) // 4      # half of all pairs
+
+
+def test_places_across_batches():
+    import itertools
+
+    import pyarrow as pa
+
+    lists = [[1, 2], [3], [1, 1, 2, 2, 3], [4, 4, 4, 4], [1, 2, 3, 4, 5, 6, 7], [5, 6]]
+    rows = [(token, key) for token, keys in enumerate(lists) for key in keys]
+    want = [(token, key, place) for token, keys in enumerate(lists) if len(set(keys)) > 1
+            for place, key in enumerate(dict.fromkeys(keys))]
+    for size in range(1, len(rows) + 1):
+        batches = [pa.RecordBatch.from_pydict({"token": [t for t, _ in some], "set_key": [k for _, k in some]})
+                   for some in itertools.batched(rows, size)]
+        got = [(r["token"], r["set_key"], r["place"]) for b in ngram_join.placed_entries(iter(batches)) for r in b.to_pylist()]
+        assert got == want, size
+
+
+@pytest.mark.parametrize(("first", "last"), [(1, 1), (1, 3), (4, 9), (10, 40)])
+def test_chunks_give_the_pairs_of_whole_lists(spark, monkeypatch, first, last):
+    """A list of 100 sets, one of 9 and one of 2: all pairs at these distances, whatever the chunks."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 5)
+    lengths, bits = {1: 100, 2: 9, -3: 2}, bytes(ngram_join.PARITY_BITS // 8)
+    rows = [(token, 1000 * token + n, 50, 0, n, bits, n % 3) for token, length in lengths.items() for n in range(length)]
+    entries = spark.createDataFrame(
+        rows, "token long, set_key long, size int, position int, place long, parity binary, component long")
+    found = ngram_join.chunked(entries, last).repartition(7, "token", "chunk") \
+        .sortWithinPartitions("token", "chunk", "place") \
+        .mapInArrow(ngram_join.candidate_pairs(90, first, last), "a long, b long").collect()
+    want = [(1000 * t + x, 1000 * t + y) for t, length in lengths.items() for y in range(length) for x in range(y)
+            if first <= y - x <= last and x % 3 != y % 3]
+    assert sorted((r.a, r.b) for r in found if r.a is not None) == sorted(tuple(sorted(p)) for p in want)
+    assert {r.b for r in found if r.a is None} == {t for t, length in lengths.items() if length > last + 1}
+
+
+def test_a_long_list_is_dealt_to_many_tasks(spark):
+    """A token of four fifths of the rows: no chunk holds more than half as many again as its own entries."""
+    from pyspark.sql import functions as F
+
+    places = spark.range(8000).select(F.lit(1).cast("long").alias("token"), F.col("id").alias("place"))
+    places = places.unionByName(spark.range(2000).select((F.col("id") + 2).alias("token"), F.lit(0).cast("long").alias("place")))
+    for last in (1, 8, 64, 512):
+        sizes = ngram_join.chunked(places, last).groupBy("token", "chunk").count()
+        most, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+        assert most <= 1.5 * ngram_join.chunk_size(last) and rows <= 1.5 * 10_000
+
+
+def test_rows_of_a_large_component_are_looked_up_by_set(spark):
+    """Most rows in one component, with repeated ids, null ids and exact copies; none is dealt by it."""
+    rng, base = random.Random(5), prose(55, 150)
+    copies = [(100 + n, edited(rng, base, n % 3), "en", "a") for n in range(60)]
+    rows = copies + [(300 + n, base, "en", "a") for n in range(30)] + copies[:5] + [(400 + n, prose(900 + n), "en", "a") for n in range(9)]
+    frame = messy(spark, [*rows, *[(None, base, "en", "a")] * 3, (500, None, "en", "a"), (501, "", "en", "a")])
+    joined = ngram_join.join(frame)
+    want = brute(rows, 3, 90)
+    got = joined.collect()
+    assert len(got) == len(rows) + 5
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id and r.doc_id < 500} == want
+    assert [r.component_id for r in got if r.doc_id is None] == [None] * 3
+    assert {r.doc_id: r.component_id for r in got if r.doc_id and r.doc_id >= 500} == {500: 500, 501: 501}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(group" not in plan and "hashpartitioning(component" not in plan
