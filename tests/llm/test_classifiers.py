@@ -107,3 +107,29 @@ def test_quality_of_odd_rows(spark):
     nothing = quality.fit(stats.select("numbers", F.lit(1).alias("y")).where("false"), "numbers", "y")
     assert {r.s for r in nothing.score(stats, "numbers", "s").select("s").collect()} == {0.5}
     assert quality.with_statistics(empty(spark), "numbers").count() == 0
+
+
+def test_terms_of_odd_texts(spark):
+    texts = [None, "", " \n", "123 456", "a", "Große große GROSSE gross", "abcde abcdef ABCDEFG", "x-y x_y x.y",
+             "\U0001f600 emoji \U0001f600emojis", "ééééé éééééé", "word " * 300]
+    frame = spark.createDataFrame(list(enumerate([*texts, *texts])), "id long, text string")
+    hashed = [r.hashed for r in spark.createDataFrame([(t,) for t in (
+        "a", "große", "grosse", "gross", "^groß", "^gros", "^gross", "abcde", "abcdef", "abcdefg", "^abcd", "^abcde",
+        "x", "y", "emoji", "emojis", "^emoj", "^emoji", "ééééé", "éééééé", "^éééé", "^ééééé", "word")], "term string")
+        .select(F.xxhash64("term").bitwiseAND(toxicity.BUCKETS - 1)
+                .cast("string").alias("hashed")).collect()]
+    a, grosse, double_s, gross, g4, s4, s5, five, six, seven, a4, a5, x, y, emoji, emojis, e4, e5, f, g, h, k, word = hashed
+    want = [[], [], [], [], [a], [grosse, double_s, gross, g4, s4, s5], [five, six, seven, a4, a5], [x, y],
+            [emoji, emojis, e4, e5], [f, g, h, k], [word]]
+    got = [r.terms for r in frame.orderBy("id").select(toxicity.buckets(F.col("text")).alias("terms")).collect()]
+    assert [sorted(t) for t in got] == [sorted(t) for t in [*want, *want]]
+
+
+def test_a_text_is_split_once(spark):
+    """Also where a filter on the score is pushed down to the scan."""
+    docs, labels = labelled(spark, 200)
+    scored = toxicity.fit(docs, labels).score(docs, out="chance")
+    frame = scored.where("chance < 0.7").select("doc_id")
+    for some in (docs.select(toxicity.buckets(F.col("text")).alias("terms")), frame):
+        plan = some._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1
